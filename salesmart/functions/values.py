@@ -63,16 +63,20 @@ def clean_flag(value: Column, null_as: bool = False) -> Column:
     return F.coalesce(flag_or_null(value), F.lit(null_as))
 
 
-def to_type(value: Column, dtype: T.DataType) -> Column:
-    """Coerce to a column type of the mart; NULL where the value does not fit.
+def whole_number_sql(column: str, dtype: T.DataType) -> str:
+    """SQL for a column as an integer type: ``3.0`` is taken, ``3.5`` is not."""
+    wide = f"try_cast({column} AS decimal(38,6))"
+    return f"CASE WHEN {wide} = floor({wide}) THEN try_cast({wide} AS {dtype.simpleString()}) END"
 
-    Decimals round half away from zero to their scale. Integers given with a zero fraction
-    (``3.0``) are taken, others are not.
+
+def to_type(column: str, dtype: T.DataType) -> Column:
+    """A column coerced to a type of the mart; NULL where a value does not fit.
+
+    Decimals round half away from zero to their scale.
     """
     if isinstance(dtype, (T.LongType, T.IntegerType, T.ShortType)):
-        wide = value.try_cast("decimal(38,6)")
-        return F.when(wide == F.floor(wide), wide.try_cast(dtype))
-    return value.try_cast(dtype)
+        return F.expr(whole_number_sql(column, dtype)).alias(column)
+    return F.col(column).try_cast(dtype).alias(column)
 
 
 def item_total(quantity: Column, unit_price: Column) -> Column:

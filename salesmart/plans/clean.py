@@ -33,7 +33,7 @@ def sale_day(df: DataFrame, formats: Sequence[str] = DATE_FORMATS) -> Column:
 def slice_days(df: DataFrame, days: Sequence[date], options: CleanOptions = CleanOptions()) -> DataFrame:
     """Rows of the given days with ``sale_date`` as a date; rows without a date match none."""
     dated = df.withColumn("sale_date", sale_day(df, options.date_formats))
-    return dated.filter(F.col("sale_date").isin([F.lit(d) for d in days]))
+    return dated.filter(f"sale_date IN ({', '.join(f"DATE '{d}'" for d in days)})")
 
 
 def clean_rows(df: DataFrame, options: CleanOptions = CleanOptions()) -> DataFrame:
@@ -44,7 +44,7 @@ def clean_rows(df: DataFrame, options: CleanOptions = CleanOptions()) -> DataFra
     changed = {c: nan_to_null(F.col(c)) for c in floats}
     for c in KEYS:
         if df.schema[c].dataType != RAW_TYPES[c]:
-            changed[c] = to_type(F.col(c), RAW_TYPES[c])
+            changed[c] = to_type(c, RAW_TYPES[c])
     changed["date_id"] = date_key(F.col("sale_date"))
     changed["discount_percent"] = clean_percent(F.col("discount_percent"), options.percent_mode)
     changed["discounted"] = clean_flag(F.col("discounted"), options.missing_flag)

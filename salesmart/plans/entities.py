@@ -42,7 +42,7 @@ def conform(rows: DataFrame, table: Table) -> DataFrame:
     have = dict(rows.dtypes)
     return rows.select(
         *[
-            to_type(F.col(c), table.columns[c]).alias(c)
+            to_type(c, table.columns[c])
             if c in table.columns and have[c] != table.columns[c].simpleString()
             else F.col(c)
             for c in rows.columns

@@ -169,7 +169,7 @@ def _days(rows: DataFrame) -> list:
 
 def _load_both(spark, sf_dir):
     warehouse = Warehouse(spark, scratch_path(spark, "warehouse"))
-    warehouse.bootstrap()
+    warehouse.bootstrap(by="month")
     flat = flat_sales(spark, sf_dir)
     results = []
     for rows, load_ts in ((target_rows(flat), FIRST), (batch_rows(flat), SECOND)):

@@ -65,7 +65,6 @@ class Table:
     not_null: tuple[str, ...] = ()
     varchar: dict[str, int] = field(default_factory=dict)
     references: dict[str, str] = field(default_factory=dict)
-    partition_by: str | None = None
 
     @property
     def column_names(self) -> list[str]:
@@ -213,7 +212,6 @@ ORDERS = Table(
     not_null=("sale_date", "date_id", "customer_id"),
     varchar={"channel": 50, "channel_campaigns": 100},
     references={"date_id": "dim_dates", "customer_id": "customers"},
-    partition_by="date_id",
 )
 
 ORDER_ITEMS = Table(
