@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from collections.abc import Sequence
+from datetime import date
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from salesmart.functions.dates import date_key
 
@@ -34,9 +37,19 @@ def stage_filtered(df: DataFrame, path: str) -> str:
     return path
 
 
-def read_staged(spark: SparkSession, path: str, schema) -> DataFrame:
-    """Staged rows; asking for columns or days reads only those."""
-    return spark.read.schema(schema).parquet(path)
+def read_staged(
+    spark: SparkSession, path: str, schema: T.StructType, days: Sequence[date] | None = None
+) -> DataFrame:
+    """Staged rows; only the columns asked for are read.
+
+    With ``days`` the staging is one partitioned by ``date_id``, and only these days are read.
+    """
+    if days is None:
+        return spark.read.schema(schema).parquet(path)
+    fields = [f for f in schema.fields if f.name != "date_id"]
+    keyed = T.StructType([*fields, T.StructField("date_id", T.IntegerType())])
+    wanted = ", ".join(d.strftime("%Y%m%d") for d in days)
+    return spark.read.schema(keyed).parquet(path).filter(f"date_id IN ({wanted})")
 
 
 def preview(df: DataFrame, order: list[str], n: int = 10) -> DataFrame:

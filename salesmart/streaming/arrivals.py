@@ -36,10 +36,11 @@ def load_arrivals(
         *[missing_to_null(F.col(c)).alias(c) for c in RAW_NAMES],
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_line"),
     )
 
-    def load(rows: DataFrame, _epoch: int) -> None:
+    def load(scanned: DataFrame, _epoch: int) -> None:
+        # A stream has no row ids; its micro-batch still has the partitions of the scan.
+        rows = scanned.withColumn("_line", F.monotonically_increasing_id())
         # One value per day in the new files.
         days = rows.select(sale_day(rows, options.date_formats).alias("d")).distinct()
         present = [r.d for r in days.filter("d IS NOT NULL").collect()]
