@@ -65,8 +65,10 @@ def clean_flag(value: Column, null_as: bool = False) -> Column:
 
 def whole_number_sql(column: str, dtype: T.DataType) -> str:
     """SQL for a column as an integer type: ``3.0`` is taken, ``3.5`` is not."""
+    name = dtype.simpleString()
     wide = f"try_cast({column} AS decimal(38,6))"
-    return f"CASE WHEN {wide} = floor({wide}) THEN try_cast({wide} AS {dtype.simpleString()}) END"
+    fraction = f"CASE WHEN {wide} = floor({wide}) THEN try_cast({wide} AS {name}) END"
+    return f"coalesce(try_cast(CAST({column} AS string) AS {name}), {fraction})"
 
 
 def to_type(column: str, dtype: T.DataType) -> Column:

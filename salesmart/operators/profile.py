@@ -96,6 +96,10 @@ def _as_long(df: DataFrame, name: str) -> Column | None:
     dtype = df.schema[name].dataType
     if isinstance(dtype, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)):
         return F.col(name).cast("bigint")
+    if isinstance(dtype, T.DecimalType) and dtype.precision <= 15:
+        # Up to 15 digits a double holds the scaled value to less than half a unit, so rounding
+        # gives it back exactly, without an object per value as decimal arithmetic needs.
+        return F.rint(F.col(name).cast("double") * 10**dtype.scale).cast("bigint")
     if isinstance(dtype, T.DecimalType) and dtype.precision <= 18:
         return (F.col(name) * 10**dtype.scale).cast("bigint")
     if isinstance(dtype, T.DateType):
@@ -192,55 +196,39 @@ def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
                 F.max(longs[i]).alias("hi"),
             )
         )
-    # One row per column comes to the driver: it decides how many passes are needed.
+    # One row per column comes to the driver; it says where the quartiles lie.
     facts = df.agg(F.array(*moments).alias("r")).select(F.inline("r")).collect()
 
-    ranks, plan = [], []
-    for fact in facts:
-        for q in QUARTILES if fact.n else ():
-            position = (fact.n - 1) * q
-            below = int(position)
-            above = min(below + 1, fact.n - 1)
-            ranks += [(fact.ord, below), (fact.ord, above)]
-            plan.append((fact.ord, int(q * 100), below, above, position - below))
-
-    spark = df.sparkSession
-    stats = spark.createDataFrame(
+    ranks = [(f.ord, rank) for f in facts if f.n for q in QUARTILES for rank in _around(f.n, q)]
+    values = order_statistics(
+        lambda wanted: _unpivot(df, {i: longs[i] for i in sorted(wanted)}),
+        {f.ord: (f.lo, f.hi) for f in facts if f.n},
+        ranks,
+    )
+
+    def quartile(fact, q: float) -> float | None:
+        if not fact.n:
+            return None
+        below, above = (_unscaled(values[fact.ord, r], scales[fact.ord]) for r in _around(fact.n, q))
+        return below + (above - below) * ((fact.n - 1) * q % 1)
+
+    return df.sparkSession.createDataFrame(
         [
-            (f.ord, columns[f.ord], f.n, f.mean, f.std, _unscaled(f.lo, scales[f.ord]),
-             _unscaled(f.hi, scales[f.ord]), float(10 ** scales[f.ord]))
+            (
+                f.ord, columns[f.ord], f.n, f.mean, f.std, _unscaled(f.lo, scales[f.ord]),
+                *[quartile(f, q) for q in QUARTILES], _unscaled(f.hi, scales[f.ord]),
+            )
             for f in facts
         ],
-        "ord int, column_name string, n long, mean double, std double, min double, max double, unit double",
-    )
-    if not ranks:
-        empty = [F.lit(None).cast("double").alias(f"p{int(q * 100)}") for q in QUARTILES]
-        return stats.select("ord", "column_name", "n", "mean", "std", "min", *empty, "max")
-
-    spans = {f.ord: (f.lo, f.hi) for f in facts if f.n}
-    values = order_statistics(_unpivot(df, longs), spans, ranks)
-    wanted = spark.createDataFrame(
-        plan, "ord int, pct int, below long, above long, part double"
-    )
-    # All of these have a few rows per column.
-    pick = lambda name: F.max(F.when(F.col("rnk") == F.col(name), F.col("value")))
-    quartiles = (
-        values.join(F.broadcast(wanted), "ord")
-        .groupBy("ord", "pct", "part")
-        .agg(pick("below").alias("x"), pick("above").alias("y"))
-        .groupBy("ord")
-        .pivot("pct", [int(q * 100) for q in QUARTILES])
-        .agg(F.first(F.struct("x", "y", "part")))
+        "ord int, column_name string, n long, mean double, std double, min double, "
+        "p25 double, p50 double, p75 double, max double",
     )
 
-    def quartile(q: float) -> Column:
-        cell = F.col(f"{int(q * 100)}")
-        low, high = cell["x"] / F.col("unit"), cell["y"] / F.col("unit")
-        return (low + (high - low) * cell["part"]).alias(f"p{int(q * 100)}")
 
-    return stats.join(F.broadcast(quartiles), "ord", "left").select(
-        "ord", "column_name", "n", "mean", "std", "min", *[quartile(q) for q in QUARTILES], "max"
-    )
+def _around(n: int, q: float) -> tuple[int, int]:
+    """The 0-based ranks whose values enclose quantile ``q`` of ``n`` values."""
+    below = int((n - 1) * q)
+    return below, min(below + 1, n - 1)
 
 
 def _unscaled(value: int | None, scale: int) -> float | None:

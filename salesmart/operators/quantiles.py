@@ -3,69 +3,88 @@
 A value is found by narrowing a bracket. Every pass counts the rows of each bracket in at most
 ``FANOUT`` equal slices (counted on the map side) and keeps the slice that holds the wanted
 rank, until a slice is one value wide. No pass shuffles rows, and no task ever sees more than
-``FANOUT`` counters per bracket, whatever the distribution.
+``FANOUT`` counters per bracket, whatever the distribution. 64-bit values take four passes,
+prices and small ids one or two.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window, functions as F
 
 FANOUT = 1 << 16
 
-_TARGETS = "ord int, rnk long, skip long, lo long, width long"
 
+@dataclass(frozen=True)
+class _Search:
+    """Looks for one rank of one column: ``skip`` rows into the values from ``lo`` on."""
 
-def passes_needed(span: int) -> int:
-    """Passes until slices are one value wide, for values spread over ``span`` integers."""
-    passes = 1
-    while span > FANOUT:
-        span = -(-span // FANOUT)
-        passes += 1
-    return passes
+    ord: int
+    rank: int
+    skip: int
+    lo: int
+    width: int
 
 
 def order_statistics(
-    long_values: DataFrame, spans: Mapping[int, tuple[int, int]], ranks: Sequence[tuple[int, int]]
-) -> DataFrame:
-    """Values at 0-based ``ranks`` (pairs of column number and rank): ``ord, rnk, value``.
+    values_of: Callable[[Iterable[int]], DataFrame],
+    spans: Mapping[int, tuple[int, int]],
+    ranks: Iterable[tuple[int, int]],
+) -> dict[tuple[int, int], int]:
+    """Values at 0-based ``ranks``, pairs of column number and rank.
 
-    ``long_values`` has the columns ``ord`` (column number) and ``v`` (bigint, not NULL);
-    ``spans`` gives the smallest and largest value per column number.
+    ``values_of`` gives the rows ``(ord, v)`` of the columns asked for, ``v`` a bigint that is
+    not NULL; ``spans`` are the smallest and largest value per column number. A pass brings one
+    row per rank to the driver, and columns that are done are not read again.
     """
-    spark = long_values.sparkSession
-    start = [
-        (ord_, rank, rank, spans[ord_][0], -(-(spans[ord_][1] - spans[ord_][0] + 1) // FANOUT))
+    open_ = [
+        _Search(ord_, rank, rank, spans[ord_][0], -(-(spans[ord_][1] - spans[ord_][0] + 1) // FANOUT))
         for ord_, rank in sorted(set(ranks))
     ]
-    targets = spark.createDataFrame(start, _TARGETS)
-    widest = max((hi - lo + 1 for lo, hi in spans.values()), default=1)
-    for step in range(passes_needed(widest)):
-        targets = _narrow(long_values, targets, whole=step == 0)
-    return targets.select("ord", "rnk", F.col("lo").alias("value"))
+    found: dict[tuple[int, int], int] = {}
+    while open_:
+        following = []
+        for search, slot, below in _pass(values_of({s.ord for s in open_}), open_):
+            lo = search.lo + slot * search.width
+            if search.width == 1:
+                found[search.ord, search.rank] = lo
+            else:
+                narrower = -(-search.width // FANOUT)
+                following.append(
+                    _Search(search.ord, search.rank, search.skip - below, lo, narrower)
+                )
+        open_ = following
+    return found
 
 
-def _narrow(long_values: DataFrame, targets: DataFrame, whole: bool) -> DataFrame:
-    # Six brackets per column at most, so the broadcast sides are tiny by construction.
-    brackets = targets.select("ord", "lo", "width").distinct()
-    slot = F.expr("(v - lo) div width")
-    inside = long_values.join(F.broadcast(brackets), "ord")
-    if not whole:
-        inside = inside.filter(F.expr("v >= lo and (v - lo) div width < %d" % FANOUT))
-    counted = inside.groupBy("ord", "lo", slot.alias("slot")).agg(F.count("*").alias("n"))
-    below = Window.partitionBy("ord", "lo").orderBy("slot").rowsBetween(
-        Window.unboundedPreceding, -1
+def _pass(values: DataFrame, searches: list[_Search]) -> list[tuple[_Search, int, int]]:
+    """Per search the slice that holds its rank, and the number of bracket rows before it."""
+    spark = values.sparkSession
+    brackets = spark.createDataFrame(
+        sorted({(s.ord, s.lo, s.width) for s in searches}), "ord int, lo long, width long"
     )
-    ranked = counted.withColumn("below", F.coalesce(F.sum("n").over(below), F.lit(0)))
-    return (
-        ranked.join(F.broadcast(targets), ["ord", "lo"])
+    targets = spark.createDataFrame(
+        [(s.ord, s.lo, s.rank, s.skip) for s in searches], "ord int, lo long, rnk long, skip long"
+    )
+    # Both local frames have a row per search at most.
+    counted = (
+        values.join(F.broadcast(brackets), "ord")
+        .selectExpr("ord", "lo", "CASE WHEN v >= lo THEN (v - lo) div width END AS slot")
+        .filter(F.col("slot") < FANOUT)
+        .groupBy("ord", "lo", "slot")
+        .agg(F.count("*").alias("n"))
+    )
+    up_to = Window.partitionBy("ord", "lo").orderBy("slot").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    held = (
+        counted.withColumn("below", F.sum("n").over(up_to) - F.col("n"))
+        .join(F.broadcast(targets), ["ord", "lo"])
         .filter("skip >= below and skip < below + n")
-        .select(
-            "ord",
-            "rnk",
-            F.expr("skip - below").alias("skip"),
-            F.expr("lo + slot * width").alias("lo"),
-            F.expr("(width + %d) div %d" % (FANOUT - 1, FANOUT)).alias("width"),
-        )
+        .select("ord", "rnk", "slot", "below")
+        .collect()
     )
+    by_rank = {(s.ord, s.rank): s for s in searches}
+    return [(by_rank[r.ord, r.rnk], r.slot, r.below) for r in held]

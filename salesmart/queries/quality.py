@@ -46,13 +46,14 @@ def _dirty_batch(spark, sf_dir, tab) -> DataFrame:
 
 def _check(tab, rules):
     def run(spark, sf_dir):
-        return row_violations(_dirty_batch(spark, sf_dir, tab), tab, rules(tab))
+        batch = _dirty_batch(spark, sf_dir, tab)
+        return row_violations(batch, tab, rules(batch, tab))
 
     return run
 
 
 def _named(rules, *names):
-    return lambda tab: [r for r in rules(tab) if r.name in names]
+    return lambda df, tab: [r for r in rules(df, tab) if r.name in names]
 
 
 _DIRTY_ROWS = DIRTY + f""", dated AS (SELECT * REPLACE ({DAY} AS sale_date) FROM dirty),
@@ -122,13 +123,11 @@ query("warn_discount_flag", _violations([
 
 def _over_tables(rules):
     def run(spark, sf_dir):
+        batches = {name: _dirty_batch(spark, sf_dir, tab) for name, tab in TABLES.items()}
+        found = [(df, TABLES[name], rules(df, TABLES[name])) for name, df in batches.items()]
         return reduce(
             DataFrame.unionByName,
-            [
-                row_violations(_dirty_batch(spark, sf_dir, tab), tab, rules(tab))
-                for tab in TABLES.values()
-                if rules(tab)
-            ],
+            [row_violations(df, tab, chosen) for df, tab, chosen in found if chosen],
         )
 
     return run
