@@ -17,7 +17,7 @@ from salesmart.plans.views import orders_with_total, sales_lines
 from salesmart.plans.warehouse import Warehouse
 from salesmart.queries import query
 from salesmart.queries.sql import (
-    BATCHES, FIRST_TS, FLAT, SECOND_TS, TOTAL, UPSERTED_DATES, calendar, clean, entity, upserted, with_,
+    BATCHES, FIRST_TS, FLAG, FLAT, PERCENT, SECOND_TS, TOTAL, UPSERTED_DATES, calendar, clean, entity, upserted, with_,
 )
 from salesmart.schemas import (
     COLUMN_COMMENTS, CUSTOMERS, DIM_DATES, ORDER_ITEMS, ORDERS, PRODUCTS, TABLES,
@@ -245,6 +245,12 @@ SELECT 1 AS load, 'read' AS step, count(*) AS n_rows FROM t
 UNION ALL SELECT 2, 'read', count(*) FROM b
 UNION ALL SELECT 1, 'filtered', count(*) FROM t UNION ALL SELECT 2, 'filtered', count(*) FROM b
 """ + "\n".join(
+    f"UNION ALL SELECT {i}, 'bad_percents', count(*) FROM flat WHERE {when} AND ({PERCENT}) IS NULL "
+    f"UNION ALL SELECT {i}, 'bad_flags', count(*) FROM flat WHERE {when} AND ({FLAG}) IS NULL "
+    f"UNION ALL SELECT {i}, 'warnings', count(*) FROM {src} "
+    "WHERE discounted <> (discount_applied > 0 OR discount_percent > 0)"
+    for i, src, when in ((1, "t", "sale_date < DATE '1998-07-01'"),
+                         (2, "b", "sale_date >= DATE '1998-01-01'"))) + "\n" + "\n".join(
     f"UNION ALL SELECT {i}, 'upserted_{name}', count(DISTINCT {key}) FROM {src}"
     for i, src in ((1, "t"), (2, "b")) for name, key in _CONTROL.items())))
 def load_metrics(spark, sf_dir):

@@ -38,7 +38,7 @@ def type_of(dtype: pa.DataType) -> str:
 
 def difference(spark_frame, con, sql: str) -> str | None:
     """What differs, or None."""
-    ours, theirs = spark_frame.toArrow(), con.execute(sql).to_arrow_table()
+    ours, theirs = spark_frame.toArrow(), con.sql(sql).to_arrow_table()
     have, want = ({f.name: type_of(f.type) for f in t.schema} for t in (ours, theirs))
     if have != want:
         return f"schema: {sorted(set(have.items()) ^ set(want.items()))}"

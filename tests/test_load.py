@@ -131,7 +131,8 @@ def test_first_load(warehouse, tmp_path):
     result = load(warehouse, path, "20250616")
     assert result.status == "SUCCESS"
     assert result.metrics == {
-        "read": 6, "filtered": 4, "upserted_dim_dates": 1, "upserted_customers": 2,
+        "read": 6, "filtered": 4, "bad_percents": 1, "bad_flags": 0, "warnings": 1,
+        "upserted_dim_dates": 1, "upserted_customers": 2,
         "upserted_products": 1, "upserted_orders": 2, "upserted_order_items": 3,
     }
     items = {r.item_id: r for r in warehouse.read("order_items").collect()}
@@ -280,3 +281,20 @@ def test_arriving_files(spark, warehouse, tmp_path):
     assert warehouse.manifest().version == version
     assert sorted(r.item_id for r in warehouse.read("order_items").collect()) == [1, 2]
     assert warehouse.read("customers").first().first_name == "Eve"
+
+
+# --- command line ---------------------------------------------------------------------------------
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from salesmart.__main__ import main
+
+    root, path = str(tmp_path / "mart"), write_csv(tmp_path / "a.csv", [{}])
+    assert main(["init", root]) == 0
+    assert main(["load", root, path, "2025-06-16"]) == 1
+    assert main(["load", root, path, "20250616"]) == 0
+    assert "SUCCESS" in capsys.readouterr().out
+    assert main(["load", root, path, "20250101"]) == 0
+    assert "NO_DATA" in capsys.readouterr().out
+    assert main(["load", root, write_csv(tmp_path / "b.csv", [{"quantity": "0"}]), "20250616"]) == 1
+    assert "constraint violations" in capsys.readouterr().err
