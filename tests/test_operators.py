@@ -178,6 +178,27 @@ def test_orphans(spark, n):
     child = spark.createDataFrame([(1,), (1,), (2,), (None,), (3,)], "customer_id long")
     parent = spark.createDataFrame([(2,), (9,)], "customer_id long")
     assert rows(orphan_keys(child, "customer_id", parent, "customer_id", n), "customer_id") == [(1, 2), (3, 1)]
+    likely = spark.createDataFrame([(3,)], "customer_id long")
+    found = orphan_keys(child, "customer_id", parent, "customer_id", n, likely)
+    assert rows(found, "customer_id") == [(1, 2)]
+
+
+def test_references(spark):
+    orders = spark.createDataFrame([(1, 20250616, 7)], "sale_id long, date_id int, customer_id long")
+    items = spark.createDataFrame([(5, 1, 3), (6, 2, 4)], "item_id long, sale_id long, product_id int")
+    parents = {
+        "dim_dates": spark.createDataFrame([(20250616,)], "date_id int"),
+        "customers": spark.createDataFrame([(8,)], "customer_id long"),
+        "products": spark.createDataFrame([(3,)], "product_id int"),
+        "orders": orders,
+    }
+    children = {"orders": orders, "order_items": items}
+    found = reference_violations(children, parents, {"orders": 1, "order_items": 2})
+    want = [("orders", "references:customer_id", "7"), ("order_items", "references:product_id", "4"),
+            ("order_items", "references:sale_id", "2")]
+    assert sorted((r.table_name, r.rule, r.pk) for r in found.collect()) == sorted(want)
+    late = {"products": spark.createDataFrame([(4,)], "product_id int")}
+    assert reference_violations(children, parents, likely=late).count() == 2
 
 
 # --- profile ------------------------------------------------------------------------------------
