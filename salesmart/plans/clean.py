@@ -33,7 +33,8 @@ def sale_day(df: DataFrame, formats: Sequence[str] = DATE_FORMATS) -> Column:
 def slice_days(df: DataFrame, days: Sequence[date], options: CleanOptions = CleanOptions()) -> DataFrame:
     """Rows of the given days with ``sale_date`` as a date; rows without a date match none."""
     dated = df.withColumn("sale_date", sale_day(df, options.date_formats))
-    return dated.filter(f"sale_date IN ({', '.join(f"DATE '{d}'" for d in days)})")
+    wanted = ", ".join(f"DATE '{d}'" for d in days)
+    return dated.filter(f"sale_date IN ({wanted})")
 
 
 def clean_rows(df: DataFrame, options: CleanOptions = CleanOptions()) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from salesmart.functions.dates import date_key, parse_run_date, resolve_run_dates
 from salesmart.functions.values import (
@@ -14,12 +16,14 @@ from salesmart.functions.values import (
     percent_or_null,
     sale_product_key,
 )
+from salesmart.operators.merge import upsert
 from salesmart.operators.profile import type_mapping
 from salesmart.operators.quality import anomalous_amounts, anomalous_percents
 from salesmart.plans.clean import clean_rows, load_status, sale_day, slice_days
 from salesmart.plans.entities import all_entities, conform, entity_rows, project
 from salesmart.plans.warehouse import Warehouse
 from salesmart.queries import query
+from salesmart.queries.load import FIRST
 from salesmart.queries.sql import (
     DAY, DIRTY, FLAG, FLAT, ORDER_FLAT, PERCENT, RAW, TOTAL, COLUMNS, clean, date_id, entity, with_,
 )
@@ -27,7 +31,7 @@ from salesmart.schemas import ORDERS, ORDER_ITEMS, RAW_NAMES, RECOMMENDED_SQL_TY
 from salesmart.session import scratch_path
 from salesmart.sources.csv import read_sales_csv, typed_columns
 from salesmart.sources.staging import preview, read_staged, stage_filtered, stage_raw
-from salesmart.sources.testtables import DIRTY_ORDER, FLAT_ORDER, dirty_sales, flat_sales
+from salesmart.sources.testtables import FLAT_ORDER, dirty_sales, flat_sales
 
 RUN_DAY = "19970823"
 
@@ -82,11 +86,6 @@ UNION ALL SELECT 'orders', 8, 0, count(DISTINCT sale_id) FROM flat
 UNION ALL SELECT 'order_items', 11, 0, count(DISTINCT item_id) FROM flat"""))
 def bootstrap_schema(spark, sf_dir):
     """Tables right after creation and after the first rows went in."""
-    from functools import reduce
-
-    from salesmart.operators.merge import upsert
-    from salesmart.queries.load import FIRST
-
     warehouse = Warehouse(spark, scratch_path(spark, "bootstrap"))
     warehouse.bootstrap()
     batch = all_entities(clean_rows(flat_sales(spark, sf_dir)), FLAT_ORDER)
@@ -102,7 +101,7 @@ def bootstrap_schema(spark, sf_dir):
                 "n_after",
             )
         )
-    return reduce(lambda a, b: a.unionByName(b), counts)
+    return reduce(DataFrame.unionByName, counts)
 
 
 @query("orders_preview", with_(FLAT + ", " + clean("flat"), f"""

@@ -12,22 +12,21 @@ from salesmart.operators.quality import (
     duplicate_violations,
     key_violations,
     not_null_rules,
-    orphan_keys,
     reference_violations,
     row_violations,
     varchar_rules,
     warning_rules,
 )
-from salesmart.plans.clean import CleanOptions, clean_rows, sale_day
+from salesmart.plans.clean import clean_rows, sale_day
 from salesmart.plans.entities import all_entities, conform, entity_rows
 from salesmart.queries import query
 from salesmart.queries.load import FIRST, SECOND
 from salesmart.queries.sql import (
     BATCHES, COLUMNS, DAY, DIRTY, FLAT, KEY, ORDER_DIRTY, PERCENT, calendar, clean, entity,
-    upserted, with_,
+    with_,
 )
 from salesmart.operators.merge import upsert, with_stamps
-from salesmart.schemas import CUSTOMERS, DIM_DATES, ORDER_ITEMS, ORDERS, PRODUCTS, TABLES
+from salesmart.schemas import CUSTOMERS, DIM_DATES, ORDER_ITEMS, PRODUCTS, TABLES
 from salesmart.sources.testtables import (
     DIRTY_ORDER, FLAT_ORDER, batch_rows, dirty_sales, flat_sales, target_rows,
 )
@@ -177,12 +176,11 @@ FROM dirty"""))
 def coerce_decimals(spark, sf_dir):
     df = dirty_sales(spark, sf_dir)
     rows = clean_rows(df.withColumn("sale_date", sale_day(df)))
-    prices = conform(rows.select("item_id", "product_id", "copy", "catalog_price", "cost_price"), PRODUCTS)
-    items = [c for c in ("original_price", "unit_price", "discount_applied", "discount_percent")]
-    return conform(
-        conform(rows.select("item_id", "product_id", "copy", "catalog_price", "cost_price", *items), PRODUCTS),
-        ORDER_ITEMS,
+    amounts = rows.select(
+        "item_id", "product_id", "copy", "catalog_price", "cost_price", "original_price",
+        "unit_price", "discount_applied", "discount_percent",
     )
+    return conform(conform(amounts, PRODUCTS), ORDER_ITEMS)
 
 
 # --- keys, uniqueness and references --------------------------------------------------------------
