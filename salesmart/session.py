@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -29,11 +30,14 @@ def local_session(cores: str = "8", memory: str = "8g") -> SparkSession:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh directory below the shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    The setting is read from the session. Only where it is unset (tests) a temporary folder
-    takes its place.
+    The setting is read from the session. Where it is unset, a session of one machine (tests)
+    gets a temporary folder of its own; on a cluster that folder would not be shared, so there
+    the job is refused.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="salesmart-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/salesmart/{name}-{uuid.uuid4().hex}"
