@@ -13,9 +13,11 @@ A recomputed task gives the same rows: ranks follow from the rows' own values.
 from __future__ import annotations
 
 import os
+import struct
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator, Mapping
+from unicodedata import normalize
 
 import numpy as np
 import pyarrow as pa
@@ -26,14 +28,29 @@ from salesmart.session import materialise
 
 END = 1
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
-REMEMBERED = 300_000
+REMEMBERED = 800_000
+PUNCTUATION = ".,;:!?"
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte but the line end: itself if it can be printed, else
+    the next one from 256 on."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(256 + n) for n, b in enumerate(hidden) if b != 10}
+
+
+BYTE_LETTERS = _byte_letters()
+
 
 
 class WordEncoder:
     """Token ids of texts, as little-endian 32-bit bytes.
 
-    The tokenizer drops white space and merges inside words only, so a text's ids are those of
-    its words one after the other; words seen before come from a bounded memory.
+    The tokenizer drops white space and takes a text apart into letters, digits and the rest
+    before it merges, so a text's ids are those of its words one after the other, and a word of
+    letters with punctuation behind it is two parts. Words and letters seen before come from
+    bounded memories; new letters go to the tokenizer's merges directly.
     """
 
     def __init__(self, path: str):
@@ -41,17 +58,61 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
+        self.words: dict[bytes, bytes] = {}
+        self.letters: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.endings: dict[str, bytes] = {"": b""}
+
+    def encode(self, texts: list[bytes | None]) -> list[bytes]:
+        words = [(t or b"").split() for t in texts]
+        if len(self.words) > REMEMBERED:
+            self.words = {}
+        fresh = list(set().union(*words) - self.words.keys())
+        if fresh:
+            self._learn(fresh)
+        return [b"".join(map(self.words.__getitem__, ws)) for ws in words]
+
+    def _learn(self, fresh: list[bytes]) -> None:
+        raw = b"\n".join(fresh).decode()
+        # A capital sigma's small form depends on its place, and not for this tokenizer.
+        whole = normalize("NFC", raw).lower().split("\n") if "\u03a3" not in raw else [""] * len(fresh)
+        stems = [w.rstrip(PUNCTUATION) for w in whole]
+        self._learn_letters({s for s in stems if s.isalpha()})
+        odd = []
+        for word, full, stem in zip(fresh, whole, stems):
+            if stem.isalpha():
+                ending = full[len(stem) :]
+                if ending not in self.endings:
+                    self.endings[ending] = self._ids([ending])[0]
+                self.words[word] = self.letters[stem] + self.endings[ending]
+            else:
+                odd.append(word)
+        self.words.update(zip(odd, self._ids([w.decode() for w in odd])))
+
+    def _learn_letters(self, wanted: set[str]) -> None:
+        if len(self.letters) > REMEMBERED:
+            self.letters, self.older = {}, self.letters
+        known = wanted & self.older.keys()
+        self.letters.update((w, self.older[w]) for w in known)
+        new = list(wanted - known - self.letters.keys())
+        # Letters in small form are what the tokenizer hands to its model, byte by byte.
+        merge = self.tokenizer.model.tokenize
+        plain = [w for w in new if w.isascii()]
+        other = [w for w in new if not w.isascii()]
+        spelled = "\n".join(other).encode().decode("latin-1").translate(BYTE_LETTERS).split("\n")
+        for word, letters in zip([*plain, *other], [*plain, *spelled]):
+            self.letters[word] = _as_bytes([token.id for token in merge(letters)])
+
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
+        return [_as_bytes(f.ids) for f in found]
+
+
+_PACKERS = [struct.Struct(f"<{n}I").pack for n in range(32)]
+
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        words = [(t or "").encode().split() for t in texts]
-        fresh = {w for ws in words for w in ws if w not in self.known}
-        if len(self.known) + len(fresh) > REMEMBERED:
-            self.known, fresh = {}, {w for ws in words for w in ws}
-        new = list(fresh)
-        for word, found in zip(new, self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)):
-            self.known[word] = np.array(found.ids, "<u4").tobytes()
-        return [b"".join(map(self.known.__getitem__, ws)) for ws in words]
+def _as_bytes(ids: list[int]) -> bytes:
+    return _PACKERS[len(ids)](*ids) if len(ids) < len(_PACKERS) else struct.pack(f"<{len(ids)}I", *ids)
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -68,7 +129,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int, with_ids: bool
 
     ``tokenizer`` is a file that every executor can read at that path.
     """
-    python_tasks(docs.sparkSession)
+    python_tasks(docs.sparkSession, 1000)
     end = np.array([END], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -76,7 +137,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int, with_ids: bool
         for batch in batches:
             rows: list[tuple] = []
             ids = batch.column(0).to_pylist()
-            for doc, data in zip(ids, encode.encode(batch.column(1).to_pylist())):
+            for doc, data in zip(ids, encode.encode(batch.column(1).cast(pa.binary()).to_pylist())):
                 data += end
                 for piece, at in enumerate(range(0, len(data), 4 * capacity)):
                     part = data[at : at + 4 * capacity]
