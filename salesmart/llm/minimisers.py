@@ -12,16 +12,18 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql.pandas.types import from_arrow_type
 
 from salesmart.llm.common import LEAST_ID, python_tasks, texts
 
-BUCKET_BYTES = 12 << 20
+BUCKET_BYTES = 16 << 20
 CELLS_PER_BUCKET = 16
 PLACE_BITS = 26
 BASE = 0x9E3779B97F4A7C15 | 1
 ROWS = "bucket int, kind int, data binary"
 SPANS = "_id long, from long, to long"
+WIDTHS = ("<i1", "<i2", "<i4", "<i8")
 
 
 class Powers:
@@ -32,7 +34,6 @@ class Powers:
 
     def reach(self, n: int) -> None:
         if len(self.up) < n:
-            n = max(n, 2 * len(self.up))
             step = np.full(n, BASE, np.uint64)
             back = np.full(n, pow(BASE, -1, 1 << 64), np.uint64)
             step[0] = back[0] = 1
@@ -43,7 +44,7 @@ _POWERS = Powers()
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
-    x = x ^ (x >> np.uint64(31))
+    x = x >> np.uint64(31) ^ x
     x *= np.uint64(0x7FB5D329728EA185)
     x ^= x >> np.uint64(27)
     x *= np.uint64(0x81DADEF4BC2DD44D)
@@ -55,8 +56,10 @@ def sums(values: np.ndarray) -> np.ndarray:
     """Running sums from which ``hashes`` makes the hash of any stretch of ``values``."""
     _POWERS.reach(len(values) + 1)
     out = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum((values.astype(np.uint64) + np.uint64(1)) * _POWERS.up[: len(values)], out=out[1:])
-    return out
+    out[1:] = values
+    out[1:] += np.uint64(1)
+    out[1:] *= _POWERS.up[: len(values)]
+    return np.cumsum(out, out=out)
 
 
 def hashes(running: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -65,7 +68,11 @@ def hashes(running: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarra
 
 def hashes_of_width(running: np.ndarray, width: int) -> np.ndarray:
     n = len(running) - width
-    return mixed((running[width:] - running[:n]) * _POWERS.down[:n]) if n > 0 else np.zeros(0, np.uint64)
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    out = running[width:] - running[:n]
+    out *= _POWERS.down[:n]
+    return mixed(out)
 
 
 def smallest_in_windows(values: np.ndarray, width: int) -> np.ndarray:
@@ -102,20 +109,26 @@ def stretches(hash_: np.ndarray, owner: np.ndarray, width: int, gram: int, hot:
 
 
 def packed(columns: list[np.ndarray], text: bytes) -> bytes:
-    """Integer columns (of any lengths) and a text as one compressed string."""
-    head = np.array([len(columns), *map(len, columns)], "<i8").tobytes()
-    data = [np.diff(c, prepend=0).astype("<i8").tobytes() for c in columns]
-    return zstandard.ZstdCompressor(level=3).compress(b"".join([head, *data, text]))
+    """Integer columns (of any lengths) and a text as one compressed string.
+
+    Columns are kept as differences, in as few bytes as hold them all.
+    """
+    steps = [np.diff(c, prepend=0) for c in columns]
+    steps = [s.astype(next(t for t in WIDTHS if (s.astype(t) == s).all())) for s in steps]
+    head = [len(columns), *(x for s in steps for x in (len(s), s.itemsize))]
+    return zstandard.ZstdCompressor(level=3).compress(
+        b"".join([np.array(head, "<i8").tobytes(), *(s.tobytes() for s in steps), text])
+    )
 
 
 def unpacked(data: bytes) -> tuple[list[np.ndarray], bytes]:
     raw = zstandard.ZstdDecompressor().decompress(data)
     n = int(np.frombuffer(raw, "<i8", 1)[0])
-    lengths = np.frombuffer(raw, "<i8", n, 8)
-    at, columns = 8 + 8 * n, []
-    for length in lengths:
-        columns.append(np.cumsum(np.frombuffer(raw, "<i8", int(length), at)))
-        at += 8 * int(length)
+    head = np.frombuffer(raw, "<i8", 2 * n, 8).tolist()
+    at, columns = 8 + 16 * n, []
+    for length, width in zip(head[::2], head[1::2]):
+        columns.append(np.cumsum(np.frombuffer(raw, f"<i{width}", length, at), dtype=np.int64))
+        at += length * width
     return columns, raw[at:]
 
 
@@ -238,6 +251,62 @@ def repeated_spans(
     )
 
 
+def without_spans(
+    docs: DataFrame,
+    spans: DataFrame,
+    cut: Callable[[bytes, list[dict[str, int]]], tuple],
+    columns: dict[str, pa.DataType],
+) -> DataFrame:
+    """``doc_id`` and the ``columns`` that ``cut(text, spans)`` gives, for every row of ``docs``.
+
+    Texts meet their spans compressed, so the shuffle carries well under half of their bytes.
+    """
+    python_tasks(docs.sparkSession)
+
+    def shrink(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        small = zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
+            data = [small(t or b"") for t in batch.column(2).cast(pa.binary()).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:2], pa.array(data, pa.binary())], names=["doc_id", "_id", "data"]
+            )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole = zstandard.ZstdDecompressor().decompress
+        for batch in batches:
+            rows = [
+                cut(whole(data), found or [])
+                for data, found in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())
+            ]
+            values = list(zip(*rows)) or [()] * len(columns)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), *map(pa.array, values, columns.values())], names=["doc_id", *columns]
+            )
+
+    schema = T.StructType(
+        [T.StructField("doc_id", T.LongType()), *(T.StructField(c, from_arrow_type(t)) for c, t in columns.items())]
+    )
+
+    return (
+        texts(docs)
+        .select("doc_id", "_id", "text")
+        .mapInArrow(shrink, "doc_id long, _id long, data binary")
+        .join(spans, "_id", "left")
+        .select("doc_id", "data", "spans")
+        .mapInArrow(run, schema)
+    )
+
+
+def parts(sizes: np.ndarray, limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """Ranges of neighbours of at most ``limit`` together, or a single one."""
+    ends, at = np.cumsum(sizes), 0
+    while at < len(sizes):
+        used = int(ends[at - 1]) if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, used + limit, "right")))
+        yield at, to
+        at = to
+
+
 def grouped(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """The positions of each bucket's entries, in order."""
     order = np.argsort(bucket, kind="stable")

@@ -1,6 +1,6 @@
 """Suffix-array dedup: bytes of repeated strings are removed, by prefix-free parsing.
 
-Rolling-hash triggers cut the texts into phrases: a trigger is a 12-byte string whose rolling
+Rolling-hash triggers cut the texts into phrases: a trigger is an 8-byte string whose rolling
 hash is the smallest in some window of 50 bytes, so no phrase exceeds a window, and whether a
 string is the trigger of a window follows from the window alone. Each phrase, up to and with its
 trigger, goes to the bucket of that trigger together with what the parse has after it, as far as
@@ -22,13 +22,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from salesmart.llm import minimisers as mz
-from salesmart.llm.common import python_tasks, texts
 
-TRIGGER = 12
-CHUNK = 2 << 20
+TRIGGER = 8
+CHUNK = 3 << 20
+TOGETHER = 40_000
 
 
 def _sent(found: dict, bucket: np.ndarray, buckets: int) -> list[tuple[int, int, bytes]]:
@@ -110,7 +110,8 @@ def dedup_strings(docs: DataFrame, width: int = 50) -> DataFrame:
         return mz.spans_batch(*mz.merged(*(np.concatenate(c) for c in zip(*spans))))
 
     spans = mz.repeated_spans(docs, CHUNK, cut, prepare, _sent, meet)
-    return _without(docs, spans)
+    numbers = {"n_bytes": pa.int64(), "n_removed": pa.int64(), "n_spans": pa.int64()}
+    return mz.without_spans(docs, spans, _cut, {**numbers, "kept": pa.binary()})
 
 
 def _classes(strings: list[bytes], depth: int) -> np.ndarray:
@@ -136,15 +137,21 @@ def _maybe(strings: list[bytes], trigger: np.ndarray, width: int) -> np.ndarray:
     """Strings that can share a window: one half of the rest of a window stands on the same side
     of the trigger in another string too. Unequal hashes prove that they do not."""
     half = -(-(width - TRIGGER) // 2)
-    running = mz.sums(np.frombuffer(b"".join(strings), np.uint8))
     length = np.array([len(s) for s in strings], np.int64)
-    begin = np.cumsum(length) - length
+    before, after = [], []
+    for a, b in mz.parts(length):
+        running = mz.sums(np.frombuffer(b"".join(strings[a:b]), np.uint8))
+        size, cut = length[a:b], trigger[a:b]
+        begin = np.cumsum(size) - size
+        for out, from_, to in ((before, cut - TRIGGER - half, cut), (after, cut - TRIGGER, cut + half)):
+            can = np.flatnonzero((from_ >= 0) & (to <= size))
+            out.append((a + can, mz.hashes(running, (begin + from_)[can], (begin + to)[can])))
     found = np.zeros(len(strings), bool)
-    for from_, to in ((trigger - TRIGGER - half, trigger), (trigger - TRIGGER, trigger + half)):
-        can = np.flatnonzero((from_ >= 0) & (to <= length))
-        hash_ = mz.hashes(running, (begin + from_)[can], (begin + to)[can])
-        _, at, count = np.unique(hash_, return_inverse=True, return_counts=True)
-        found[can[count[at] > 1]] = True
+    for side in (before, after):
+        at, hash_ = (np.concatenate(c) for c in zip(*side))
+        order = np.argsort(hash_)
+        same = hash_[order][1:] == hash_[order][:-1]
+        found[at[order[np.append(same, False) | np.append(False, same)]]] = True
     return np.flatnonzero(found)
 
 
@@ -154,9 +161,21 @@ def corpus_repeats(strings: list[bytes], trigger: np.ndarray, ids: np.ndarray, w
     ``trigger``: end of each string's trigger. ``ids``: smallest doc_id of each string.
     """
     some = _maybe(strings, trigger, width)
-    none = np.zeros(0, np.int64)
-    if not len(some):
-        return none, none
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    ends = [strings[i][t - TRIGGER : t] for i, t in zip(some.tolist(), trigger[some].tolist())]
+    order = sorted(range(len(some)), key=ends.__getitem__)
+    at = 0
+    while at < len(order):  # strings of one trigger stay together
+        to = min(at + TOGETHER, len(order))
+        while to < len(order) and ends[order[to]] == ends[order[to - 1]]:
+            to += 1
+        found.append(_repeats_among(strings, some[order[at:to]], trigger, ids, width))
+        at = to
+    string, offset = zip(*found)
+    return np.concatenate(string), np.concatenate(offset)
+
+
+def _repeats_among(strings: list[bytes], some: np.ndarray, trigger: np.ndarray, ids: np.ndarray, width: int):
     cut = trigger[some].tolist()
     phrases = [strings[i][:t][::-1] for i, t in zip(some.tolist(), cut)]
     rest = [strings[i][t:] for i, t in zip(some.tolist(), cut)]
@@ -178,33 +197,13 @@ def corpus_repeats(strings: list[bytes], trigger: np.ndarray, ids: np.ndarray, w
     return some[row[repeated]], offset[repeated]
 
 
-def _without(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            total, removed, runs, kept = [], [], [], []
-            for text, cuts in zip(batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist()):
-                text, parts, at, n = text or b"", [], 0, 0
-                for s in _joined(cuts or [], len(text)):
-                    parts.append(text[at : s[0]])
-                    at, n = s[1], n + 1
-                rest = b"".join([*parts, text[at:]])
-                total.append(len(text))
-                removed.append(len(text) - len(rest))
-                runs.append(n)
-                kept.append(rest)
-            numbers = [pa.array(c, pa.int64()) for c in (total, removed, runs)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *numbers, pa.array(kept, pa.binary())],
-                names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"],
-            )
-
-    python_tasks(docs.sparkSession)
-    return (
-        texts(docs)
-        .join(spans, "_id", "left")
-        .select("doc_id", "text", "spans")
-        .mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
-    )
+def _cut(text: bytes, spans: list[dict[str, int]]) -> tuple[int, int, int, bytes]:
+    parts, at, runs = [], 0, _joined(spans, len(text))
+    for a, b in runs:
+        parts.append(text[at:a])
+        at = b
+    rest = b"".join([*parts, text[at:]])
+    return len(text), len(text) - len(rest), len(runs), rest
 
 
 def _joined(spans: list[dict[str, int]], length: int) -> list[list[int]]:
