@@ -15,13 +15,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from salesmart.llm import minimisers as mz
-from salesmart.llm.common import python_tasks, texts
 
 GRAM = 3
-CHUNK = 4 << 20
+CHUNK = 3 << 20
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 
@@ -39,11 +38,6 @@ def _words(flat: bytes) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
     return norm.tobytes(), np.append(0, end + 1)[: len(end)], end, np.flatnonzero(kept & ~inside)
 
 
-def _window_hashes(norm: bytes, begin: np.ndarray, end: np.ndarray, width: int) -> np.ndarray:
-    words = mz.hashes(mz.sums(np.frombuffer(norm, np.uint8)), begin, end)
-    return mz.hashes_of_width(mz.sums(words), width)
-
-
 def _sent(found: dict, bucket: np.ndarray, buckets: int) -> list[tuple[int, int, bytes]]:
     norm, begin, end = found["norm"], found["begin"].tolist(), found["end"].tolist()
     known: dict[bytes, int] = {}
@@ -116,58 +110,48 @@ def dedup_substrings(docs: DataFrame, width: int = 20) -> DataFrame:
         return mz.spans_batch(*mz.merged(*(np.concatenate(c) for c in zip(*spans))))
 
     spans = mz.repeated_spans(docs, CHUNK, cut, prepare, _sent, meet)
-    return _without(docs, spans)
+    return mz.without_spans(
+        docs, spans, _cut, {"n_words": pa.int64(), "n_removed": pa.int64(), "kept": pa.string()}
+    )
 
 
 def _repeated(strings: list[bytes], words: np.ndarray, ids: np.ndarray, starts: np.ndarray, width: int):
     """Spans of windows of distinct ``strings`` that have an earlier place in the bucket."""
-    norm = b" ".join([*strings, b""])
-    end = np.flatnonzero(np.frombuffer(norm, np.uint8) == 32)
-    begin = np.append(0, end + 1)[: len(end)]
-    owner = np.repeat(np.arange(len(strings)), words)
-    whole = np.flatnonzero(owner[: len(owner) - width + 1] == owner[width - 1 :])
-    hash_ = _window_hashes(norm, begin, end, width)[whole]
+    found = []
+    for a, b in mz.parts(np.array([len(s) for s in strings])):
+        norm = np.frombuffer(b" ".join([*strings[a:b], b""]), np.uint8)
+        end = np.flatnonzero(norm == 32)
+        begin = np.append(0, end + 1)[: len(end)]
+        owner = np.repeat(np.arange(a, b, dtype=np.int32), words[a:b])
+        whole = np.flatnonzero(owner[: len(owner) - width + 1] == owner[width - 1 :])
+        hash_ = mz.hashes_of_width(mz.sums(mz.hashes(mz.sums(norm), begin, end)), width)[whole]
+        head = np.searchsorted(owner, owner[whole])  # first word of the string
+        at = begin[whole] - begin[head], end[whole + width - 1] - begin[head], whole - head
+        found.append((hash_, owner[whole], *(x.astype(np.int32) for x in at)))
+    hash_, owner, begin, end, nth = (np.concatenate(c) for c in zip(*found))
     order = np.argsort(hash_)
     same = hash_[order][1:] == hash_[order][:-1]
-    window = whole[order[np.append(same, False) | np.append(False, same)]]
-    doc = owner[window]
-    id_, place = ids[doc], starts[doc] + window - np.searchsorted(owner, doc)
-    hash_ = hash_[np.searchsorted(whole, window)]
-    order = np.lexsort((place, id_, hash_))
+    window = order[np.append(same, False) | np.append(False, same)]
+    owner, begin, end = owner[window], begin[window].tolist(), end[window].tolist()
+    id_, place = ids[owner], starts[owner] + nth[window]
     first: dict[bytes, tuple[int, int]] = {}
     out: list[tuple[int, int]] = []
-    for w, i, p in zip(window[order].tolist(), id_[order].tolist(), place[order].tolist()):
+    id_list, place_list, owner_list = id_.tolist(), place.tolist(), owner.tolist()
+    for n in np.lexsort((place, id_, hash_[window])).tolist():
         # Sorted by place within a hash: the first with these very words is the earliest.
-        if first.setdefault(norm[begin[w] : end[w + width - 1]], (i, p)) != (i, p):
-            out.append((i, p))
-    found = np.array(out, np.int64).reshape(-1, 2)
-    return [found[:, 0], found[:, 1], found[:, 1] + width]
-
-
-def _without(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            total, removed, kept = [], [], []
-            for text, cuts in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                words = (text or "").encode().split()
-                rest = words
-                if cuts:
-                    stay = np.ones(len(words), bool)
-                    for s in cuts:
-                        stay[s["from"] : s["to"]] = False
-                    rest = [words[i] for i in np.flatnonzero(stay).tolist()]
-                total.append(len(words))
-                removed.append(len(words) - len(rest))
-                kept.append(b" ".join(rest).decode())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())],
-                names=["doc_id", "n_words", "n_removed", "kept"],
-            )
-
-    python_tasks(docs.sparkSession)
-    return (
-        texts(docs)
-        .join(spans, "_id", "left")
-        .select("doc_id", "text", "spans")
-        .mapInArrow(run, "doc_id long, n_words long, n_removed long, kept string")
-    )
+        here = id_list[n], place_list[n]
+        if first.setdefault(strings[owner_list[n]][begin[n] : end[n]], here) != here:
+            out.append(here)
+    made = np.array(out, np.int64).reshape(-1, 2)
+    return [made[:, 0], made[:, 1], made[:, 1] + width]
+
+
+def _cut(text: bytes, spans: list[dict[str, int]]) -> tuple[int, int, str]:
+    words = text.split()
+    rest = words
+    if spans:
+        stay = np.ones(len(words), bool)
+        for s in spans:
+            stay[s["from"] : s["to"]] = False
+        rest = [words[i] for i in np.flatnonzero(stay).tolist()]
+    return len(words), len(words) - len(rest), b" ".join(rest).decode()
