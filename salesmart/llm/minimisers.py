@@ -297,6 +297,15 @@ def without_spans(
     )
 
 
+def repeated(values: np.ndarray) -> np.ndarray:
+    """Positions of the values that stand at more than one position."""
+    order = np.argsort(values)
+    same = values[order][1:] == values[order][:-1]
+    mark = np.zeros(len(values), bool)
+    mark[order[1:][same]] = mark[order[:-1][same]] = True
+    return np.flatnonzero(mark)
+
+
 def parts(sizes: np.ndarray, limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Ranges of neighbours of at most ``limit`` together, or a single one."""
     ends, at = np.cumsum(sizes), 0

@@ -117,3 +117,122 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffix_dedup.dedup_strings(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+_STRIPPED = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+SQL["op1_substring_dedup"] = f"""
+WITH docs AS (SELECT doc_id, {_STRIPPED} AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(w[i : i + 19], ' ') AS key
+  FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 19)) AS i FROM docs)
+), later AS (
+  SELECT doc_id, i FROM windows
+  QUALIFY row_number() OVER (PARTITION BY key ORDER BY doc_id, i) > 1
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(generate_series(i, i + 19)) AS i FROM later
+), kept AS (
+  SELECT d.doc_id, d.i, d.word, g.i IS NULL AS stays
+  FROM (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM docs) d
+  LEFT JOIN gone g USING (doc_id, i)
+), joined AS (
+  SELECT doc_id, count(*) FILTER (NOT stays) AS n_removed,
+         string_agg(word, ' ' ORDER BY i) FILTER (stays) AS text
+  FROM kept GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       sha256(coalesce(joined.text, '')) AS kept_sha256
+FROM docs LEFT JOIN joined USING (doc_id)
+"""
+
+
+def _rule_sql(rank: int, rule: secret_scan.Rule) -> str:
+    pattern = rule.pattern.replace("'", "''")
+    return f"""
+  SELECT doc_id, {rank} AS rank, '{rule.kind}' AS kind, n, hits, secret[n] AS secret,
+         list_sum(list_transform(gaps[:n], lambda x: length(x))) + coalesce(list_sum(list_transform(hits[:n - 1], lambda x: length(x))), 0) AS start
+  FROM (SELECT doc_id, hits, secret, gaps, unnest(generate_series(1, len(hits))) AS n
+        FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{pattern}') AS hits,
+                     regexp_extract_all(coalesce(text, ''), '{pattern}', {rule.group}) AS secret,
+                     string_split_regex(coalesce(text, ''), '{pattern}') AS gaps
+              FROM documents))
+  WHERE length(secret[n]) >= {rule.min_chars}"""
+
+
+SQL["op3_secret_scan"] = f"""
+WITH found AS ({' UNION ALL '.join(_rule_sql(i, r) for i, r in enumerate(secret_scan.RULES))}
+), spans AS (
+  SELECT doc_id, rank, kind, start, kind || ':' || start::BIGINT || ':' || (start + length(hits[n]))::BIGINT AS span FROM found
+), joined AS (
+  SELECT doc_id, count(*) FILTER (kind = 'assign') AS a, count(*) FILTER (kind = 'access') AS b,
+         count(*) FILTER (kind = 'hex') AS c,
+         string_agg(span, ',' ORDER BY start, rank) FILTER (rank < 3) AS base,
+         string_agg(span, ',' ORDER BY start, rank) AS spans
+  FROM spans GROUP BY doc_id
+)
+SELECT doc_id, coalesce(a, 0)::BIGINT AS n_assign, coalesce(b, 0)::BIGINT AS n_access, coalesce(c, 0)::BIGINT AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM documents LEFT JOIN joined USING (doc_id)
+"""
+
+SQL["op4_quality_rules"] = f"""
+WITH docs AS (
+  SELECT doc_id, coalesce(text, '') AS t, {_STRIPPED} AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
+  FROM documents
+), windows AS (
+  SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS key
+  FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 2)) AS i FROM docs)
+), repeated AS (
+  SELECT doc_id, count(DISTINCT p) AS n_repeat_words
+  FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p
+        FROM (SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, key) > 1))
+  GROUP BY doc_id
+), counts AS (
+  SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+         (length(t) - length(translate(t, '{quality_rules.SYMBOLS}', '')))::BIGINT AS n_symbols,
+         (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+         coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, greatest(len(lines), 1) AS n_lines,
+         length(t) - length(translate(t, '!', '')) AS n_bangs,
+         len(list_filter(string_split_regex({_LOWER.format('t')}, '[\\x20\\x09-\\x0D.,!?;:]+'),
+                         lambda x: x IN ({', '.join(f"'{x}'" for x in quality_rules.STOP_WORDS)}))) AS n_stop_words
+  FROM docs LEFT JOIN repeated USING (doc_id)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
+       AND word_chars / n_words BETWEEN 2 AND 15 AND n_symbols / n_words <= 0.1 AND n_stop_words / n_words >= 0.02
+       AND n_dup_lines / n_lines <= 0.5 AND n_bangs / n_words <= 0.25 AS kept
+FROM counts
+"""
+
+SQL["op8_decontaminate"] = rf"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), items AS (
+  SELECT item_id, w, least(len(w), 10) AS n
+  FROM (SELECT item_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+        FROM benchmark)
+  WHERE len(w) > 0
+), grams AS (
+  SELECT DISTINCT n, item_id, array_to_string(w[i : i + n - 1], ' ') AS key
+  FROM (SELECT *, unnest(generate_series(1, len(w) - n + 1)) AS i FROM items)
+), places AS (
+  SELECT doc_id, n, i, array_to_string(w[i : i + n - 1], ' ') AS key
+  FROM (SELECT doc_id, w, n, unnest(generate_series(1, len(w) - n + 1)) AS i
+        FROM docs, (SELECT DISTINCT n FROM items))
+), found AS (SELECT doc_id, n, i, item_id FROM places JOIN grams USING (n, key)),
+words AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(generate_series(i, i + n - 1)) AS p FROM found) GROUP BY doc_id
+), names AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS name FROM found) GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN words USING (doc_id) LEFT JOIN names USING (doc_id)
+"""

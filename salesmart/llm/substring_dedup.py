@@ -129,9 +129,7 @@ def _repeated(strings: list[bytes], words: np.ndarray, ids: np.ndarray, starts:
         at = begin[whole] - begin[head], end[whole + width - 1] - begin[head], whole - head
         found.append((hash_, owner[whole], *(x.astype(np.int32) for x in at)))
     hash_, owner, begin, end, nth = (np.concatenate(c) for c in zip(*found))
-    order = np.argsort(hash_)
-    same = hash_[order][1:] == hash_[order][:-1]
-    window = order[np.append(same, False) | np.append(False, same)]
+    window = mz.repeated(hash_)
     owner, begin, end = owner[window], begin[window].tolist(), end[window].tolist()
     id_, place = ids[owner], starts[owner] + nth[window]
     first: dict[bytes, tuple[int, int]] = {}

@@ -149,9 +149,7 @@ def _maybe(strings: list[bytes], trigger: np.ndarray, width: int) -> np.ndarray:
     found = np.zeros(len(strings), bool)
     for side in (before, after):
         at, hash_ = (np.concatenate(c) for c in zip(*side))
-        order = np.argsort(hash_)
-        same = hash_[order][1:] == hash_[order][:-1]
-        found[at[order[np.append(same, False) | np.append(False, same)]]] = True
+        found[at[mz.repeated(hash_)]] = True
     return np.flatnonzero(found)
 
 
