@@ -1,7 +1,7 @@
 """Command line: ``init`` creates the empty mart, ``load`` loads days of a raw sales file.
 
     python -m salesmart init <warehouse> [--by day|month|year]
-    python -m salesmart load <warehouse> <csv path> <yyyymmdd> [<yyyymmdd> ...]
+    python -m salesmart load <warehouse> <csv path> <yyyymmdd> [<yyyymmdd> ...] [--multiline]
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ def main(argv: list[str] | None = None) -> int:
     load.add_argument("warehouse")
     load.add_argument("path")
     load.add_argument("days", nargs="+")
+    load.add_argument("--multiline", action="store_true", help="quoted values may hold line breaks")
     args = parser.parse_args(argv)
 
     if args.step == "load":
@@ -39,7 +40,7 @@ def main(argv: list[str] | None = None) -> int:
         Warehouse(spark, args.warehouse).bootstrap(args.by)
         return 0
     try:
-        result = load_file(spark, args.warehouse, args.path, args.days)
+        result = load_file(spark, args.warehouse, args.path, args.days, multiline=args.multiline)
     except Exception as error:  # the job's exit code tells the scheduler
         print(f"load failed: {error}", file=sys.stderr)
         return 1

@@ -12,17 +12,6 @@ from salesmart.schemas import Table
 
 # Every join here is on a key that is unique on both sides, so no key can be hot.
 
-# Keys up to this number are broadcast (some 200 MB), which leaves a large target unshuffled. Above
-# it, or with an unknown number, the planner decides; it shuffles both sides if it has to.
-BROADCAST_KEYS = 5_000_000
-
-
-def keys_of(df: DataFrame, key: str, n_rows: int | None) -> DataFrame:
-    """The key column, marked for broadcast if ``n_rows`` proves it small enough."""
-    keys = df.select(key)
-    return F.broadcast(keys) if n_rows is not None and n_rows <= BROADCAST_KEYS else keys
-
-
 def stamp(load_ts: datetime) -> Column:
     return F.lit(load_ts.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
 
@@ -34,9 +23,8 @@ def upsert(
     load_ts: datetime,
     update_columns: Sequence[str] | None = None,
     touch_updated_at: bool = False,
-    n_batch: int | None = None,
 ) -> DataFrame:
-    """Target after inserting ``batch``, whose ``n_batch`` rows are unique by the table's key.
+    """Target after inserting ``batch``, whose rows are unique by the table's key.
 
     Rows with a known key take the batch's ``update_columns``, NULLs included, and keep the
     rest, the load timestamps too. With no update columns the existing row wins.
@@ -44,35 +32,34 @@ def upsert(
     updates = table.update_columns if update_columns is None else tuple(update_columns)
     incoming = with_stamps(with_generated(batch, table), table, load_ts)
     if not updates:
-        return insert_ignore(target, incoming, table.key, n_batch)
+        return insert_ignore(target, incoming, table.key)
     taken = set(updates) | set(table.generated)
     if touch_updated_at:
         taken |= {"updated_at"} & set(table.stamps)
-    untouched = target.join(keys_of(batch, table.key, n_batch), table.key, "left_anti")
+    untouched = target.join(batch.select(table.key), table.key, "left_anti")
     return untouched.unionByName(
-        updated_rows(target, incoming, table.key, taken, n_batch).select(target.columns)
+        updated_rows(target, incoming, table.key, taken).select(target.columns)
     )
 
 
 def insert_ignore(
-    target: DataFrame, incoming: DataFrame, key: str, n_batch: int | None = None
+    target: DataFrame, incoming: DataFrame, key: str
 ) -> DataFrame:
     # The few known keys are found first, so that a small batch never makes the target shuffle.
-    known = target.select(key).join(keys_of(incoming, key, n_batch), key, "left_semi")
+    known = target.select(key).join(incoming.select(key), key, "left_semi")
     fresh = incoming.join(known, key, "left_anti")
     return target.unionByName(fresh.select(target.columns))
 
 
 def updated_rows(
     target: DataFrame, incoming: DataFrame, key: str, taken: Iterable[str],
-    n_batch: int | None = None,
 ) -> DataFrame:
     """The batch's rows, with the columns outside ``taken`` kept from the target if known."""
     taken = set(taken)
     kept = [c for c in incoming.columns if c != key and c not in taken]
     if not kept:
         return incoming
-    known = target.join(keys_of(incoming, key, n_batch), key, "left_semi").select(
+    known = target.join(incoming.select(key), key, "left_semi").select(
         F.col(key), F.struct(*kept).alias("_old")
     )
     return incoming.join(known, key, "left").select(

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from salesmart.operators.quantiles import order_statistics
+from salesmart.operators.quantiles import order_statistics, sorted_values
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -164,7 +164,7 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [
         f.name
         for f in df.schema.fields
-        if isinstance(f.dataType, (T.IntegralType, T.DecimalType))
+        if isinstance(f.dataType, (T.IntegralType, T.DecimalType, T.FractionalType))
     ]
 
 
@@ -173,50 +173,65 @@ def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
 
     Exact: quartiles interpolate linearly between order statistics, which are found by
     counting passes instead of one task holding all values. ``df`` is read several times; hand
-    in stored data, not a costly derivation.
+    in stored data, not a costly derivation. NaN counts as missing.
     """
     columns = list(columns or numeric_columns(df))
+    # Types without an exact bigint form, floats and wide decimals, are sorted by value.
     longs = {i: _as_long(df, c) for i, c in enumerate(columns)}
-    wide = [c for i, c in enumerate(columns) if longs[i] is None]
-    if wide:
-        raise TypeError(f"no exact quartiles for the types of {wide}")
-    scales = {
-        i: getattr(df.schema[c].dataType, "scale", 0) for i, c in enumerate(columns)
-    }
+    scales = {i: getattr(df.schema[c].dataType, "scale", 0) for i, c in enumerate(columns)}
+
+    def value(c: str) -> Column:
+        floating = isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType))
+        return F.when(~F.isnan(c), F.col(c)) if floating else F.col(c)
 
     moments = []
     for i, c in enumerate(columns):
+        v = value(c)
         moments.append(
             F.struct(
                 F.lit(i).alias("ord"),
-                F.count(c).alias("n"),
-                F.try_divide(F.sum(c).cast("double"), F.count(c).cast("double")).alias("mean"),
-                F.when(F.count(c) > 1, F.stddev_samp(F.col(c).cast("double"))).alias("std"),
-                F.min(longs[i]).alias("lo"),
-                F.max(longs[i]).alias("hi"),
+                F.count(v).alias("n"),
+                # The exact sum, unless it does not fit its type.
+                F.coalesce(
+                    F.try_divide(F.try_sum(v).cast("double"), F.count(v).cast("double")), F.avg(v.cast("double"))
+                ).alias("mean"),
+                F.when(F.count(v) > 1, F.stddev_samp(v.cast("double"))).alias("std"),
+                (F.lit(None).cast("long") if longs[i] is None else F.min(longs[i])).alias("lo"),
+                (F.lit(None).cast("long") if longs[i] is None else F.max(longs[i])).alias("hi"),
+                F.min(v.cast("double")).alias("least"),
+                F.max(v.cast("double")).alias("most"),
             )
         )
     # One row per column comes to the driver; it says where the quartiles lie.
     facts = df.agg(F.array(*moments).alias("r")).select(F.inline("r")).collect()
 
-    ranks = [(f.ord, rank) for f in facts if f.n for q in QUARTILES for rank in _around(f.n, q)]
+    exact = [f for f in facts if f.n and longs[f.ord] is not None]
     values = order_statistics(
         lambda wanted: _unpivot(df, {i: longs[i] for i in sorted(wanted)}),
-        {f.ord: (f.lo, f.hi) for f in facts if f.n},
-        ranks,
+        {f.ord: (f.lo, f.hi) for f in exact},
+        [(f.ord, rank) for f in exact for q in QUARTILES for rank in _around(f.n, q)],
     )
+    found = {key: _unscaled(v, scales[key[0]]) for key, v in values.items()}
+    for f in facts:
+        if f.n and longs[f.ord] is None:
+            present = df.select(value(columns[f.ord]).alias("v")).filter("v IS NOT NULL")
+            ranked = sorted_values(present, [rank for q in QUARTILES for rank in _around(f.n, q)])
+            found |= {(f.ord, rank): float(v) for rank, v in ranked.items()}
 
     def quartile(fact, q: float) -> float | None:
         if not fact.n:
             return None
-        below, above = (_unscaled(values[fact.ord, r], scales[fact.ord]) for r in _around(fact.n, q))
+        below, above = (found[fact.ord, r] for r in _around(fact.n, q))
         return below + (above - below) * ((fact.n - 1) * q % 1)
 
+    def end(fact, exact_value: int | None, rounded: float | None) -> float | None:
+        return rounded if longs[fact.ord] is None else _unscaled(exact_value, scales[fact.ord])
+
     return df.sparkSession.createDataFrame(
         [
             (
-                f.ord, columns[f.ord], f.n, f.mean, f.std, _unscaled(f.lo, scales[f.ord]),
-                *[quartile(f, q) for q in QUARTILES], _unscaled(f.hi, scales[f.ord]),
+                f.ord, columns[f.ord], f.n, f.mean, f.std, end(f, f.lo, f.least),
+                *[quartile(f, q) for q in QUARTILES], end(f, f.hi, f.most),
             )
             for f in facts
         ],
@@ -238,7 +253,7 @@ def _unscaled(value: int | None, scale: int) -> float | None:
 def describe_text(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """count, distinct count, most frequent value and its frequency of text columns.
 
-    Among equally frequent values the smallest is shown.
+    Among equally frequent values the smallest is shown; a column without values has none.
     """
     columns = list(
         columns or [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
@@ -253,12 +268,12 @@ def describe_text(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
         F.count("*").alias("n_unique"),
         F.min(F.struct((-F.col("freq")).alias("neg"), F.col("v"))).alias("best"),
     )
-    names = F.create_map(*[F.lit(x) for pair in enumerate(columns) for x in pair])
-    return tops.select(
+    names = df.sparkSession.createDataFrame(list(enumerate(columns)), "ord int, column_name string")
+    return names.join(tops, "ord", "left").select(
         "ord",
-        F.element_at(names, F.col("ord")).alias("column_name"),
-        "n",
-        "n_unique",
+        "column_name",
+        F.coalesce("n", F.lit(0)).alias("n"),
+        F.coalesce("n_unique", F.lit(0)).alias("n_unique"),
         F.col("best.v").alias("top"),
         (-F.col("best.neg")).alias("freq"),
     )

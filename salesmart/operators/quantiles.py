@@ -14,6 +14,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from salesmart.session import materialise
+
 FANOUT = 1 << 16
 
 
@@ -71,8 +73,14 @@ def _pass(values: DataFrame, searches: list[_Search]) -> list[tuple[_Search, int
     # Both local frames have a row per search at most.
     counted = (
         values.join(F.broadcast(brackets), "ord")
-        .selectExpr("ord", "lo", "CASE WHEN v >= lo THEN (v - lo) div width END AS slot")
-        .filter(F.col("slot") < FANOUT)
+        # The difference of two bigints may need one more bit.
+        .selectExpr(
+            "ord", "lo",
+            "CASE WHEN v >= lo THEN coalesce(try_subtract(v, lo) div width, "
+            "(CAST(v AS DECIMAL(20,0)) - lo) div width) END AS slot",
+        )
+        # A slot of 2^63 or more, far beyond the bracket, shows as negative.
+        .filter((F.col("slot") >= 0) & (F.col("slot") < FANOUT))
         .groupBy("ord", "lo", "slot")
         .agg(F.count("*").alias("n"))
     )
@@ -88,3 +96,29 @@ def _pass(values: DataFrame, searches: list[_Search]) -> list[tuple[_Search, int
     )
     by_rank = {(s.ord, s.rank): s for s in searches}
     return [(by_rank[r.ord, r.rnk], r.slot, r.below) for r in held]
+
+
+def sorted_values(values: DataFrame, ranks: Iterable[int]) -> dict[int, object]:
+    """Values at 0-based ``ranks`` of the column ``v`` of any ordered type, without nulls.
+
+    Equal values are counted first, so a frequent value is one row; the distinct ones are dealt
+    by range. One row per partition and one per rank come to the driver.
+    """
+    counted = values.groupBy("v").agg(F.count("*").alias("n"))
+    dealt = materialise(
+        counted.repartitionByRange("v").select("v", "n", F.spark_partition_id().alias("part")), "sorted-values"
+    )
+    sizes = {r.part: r.n for r in dealt.groupBy("part").agg(F.sum("n").alias("n")).collect()}
+    before, total = {}, 0
+    for part in sorted(sizes):
+        before[part], total = total, total + sizes[part]
+    if not before:
+        return {}
+    wanted = sorted(set(ranks))
+    starts = F.create_map(*[F.lit(x) for pair in before.items() for x in pair])
+    up_to = Window.partitionBy("part").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = dealt.withColumn("end", F.element_at(starts, F.col("part")) + F.sum("n").over(up_to))
+    held = F.filter(
+        F.array(*[F.lit(r).cast("long") for r in wanted]), lambda r: (r >= F.col("end") - F.col("n")) & (r < F.col("end"))
+    )
+    return {r.rank: r.v for r in placed.select("v", F.explode(held).alias("rank")).collect()}

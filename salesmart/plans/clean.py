@@ -34,7 +34,7 @@ def slice_days(df: DataFrame, days: Sequence[date], options: CleanOptions = Clea
     """Rows of the given days with ``sale_date`` as a date; rows without a date match none."""
     dated = df.withColumn("sale_date", sale_day(df, options.date_formats))
     wanted = ", ".join(f"DATE '{d}'" for d in days)
-    return dated.filter(f"sale_date IN ({wanted})")
+    return dated.filter(f"sale_date IN ({wanted})" if days else "false")
 
 
 def clean_rows(df: DataFrame, options: CleanOptions = CleanOptions()) -> DataFrame:

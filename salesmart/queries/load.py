@@ -244,6 +244,7 @@ def idempotent_reload(spark, sf_dir):
 SELECT 1 AS load, 'read' AS step, count(*) AS n_rows FROM t
 UNION ALL SELECT 2, 'read', count(*) FROM b
 UNION ALL SELECT 1, 'filtered', count(*) FROM t UNION ALL SELECT 2, 'filtered', count(*) FROM b
+UNION ALL SELECT i, s, 0 FROM (VALUES (1), (2)) v(i), (VALUES ('bad_dates'), ('bad_records')) w(s)
 """ + "\n".join(
     f"UNION ALL SELECT {i}, 'bad_percents', count(*) FROM flat WHERE {when} AND ({PERCENT}) IS NULL "
     f"UNION ALL SELECT {i}, 'bad_flags', count(*) FROM flat WHERE {when} AND ({FLAG}) IS NULL "

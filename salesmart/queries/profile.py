@@ -83,9 +83,26 @@ def describe_numeric(spark, sf_dir):
     "count({c}) AS n, count(DISTINCT {c}) AS n_unique, "
     "(SELECT {c} FROM dirty WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1) AS top, "
     "(SELECT count(*) FROM dirty WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC LIMIT 1) AS freq",
-    _TEXT)))
+    _TEXT) + f"""
+UNION ALL SELECT CAST({len(_TEXT)} AS INTEGER), 'nothing', 0, 0, NULL, NULL"""))
 def describe_text(spark, sf_dir):
-    return profile.describe_text(_raw(spark, sf_dir))
+    """With a column that has no value at all."""
+    return profile.describe_text(_raw(spark, sf_dir).withColumn("nothing", F.lit(None).cast("string")))
+
+
+# Prices as floating numbers, some of them NaN, and as decimals of more than 18 digits.
+@query("describe_float", with_(DIRTY, _describe_sql(["price", "share", "wide"], """(
+SELECT CAST(unit_price AS DOUBLE) AS price,
+       CASE WHEN quantity % 3 > 0 THEN CAST(cost_price AS DOUBLE) / 8 END AS share,
+       CAST(catalog_price AS DECIMAL(22,2)) AS wide FROM dirty) AS dirty""", 2)))
+def describe_float(spark, sf_dir):
+    price = F.col("cost_price").cast("double") / 8
+    frame = _raw(spark, sf_dir).select(
+        F.col("unit_price").cast("double").alias("price"),
+        F.when(F.col("quantity") % 3 > 0, price).otherwise(F.lit(float("nan"))).alias("share"),
+        F.col("catalog_price").cast("decimal(22,2)").alias("wide"),
+    )
+    return _rounded(profile.describe_numeric(materialise(frame, "floats")), 2)
 
 
 @query("cardinality", with_(DIRTY, _per_column(

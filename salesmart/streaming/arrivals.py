@@ -1,22 +1,25 @@
 """Daily files picked up as they arrive.
 
-The stream only remembers which files were taken; the load itself is the batch load and is
-idempotent, so a micro-batch repeated after a failure changes nothing.
+The stream only remembers which files were taken; each file is then loaded like any other, with
+the same reader and the same checks. The load is idempotent, so a micro-batch repeated after a
+failure changes nothing.
 """
 
 from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from salesmart.functions.values import missing_to_null
 from salesmart.plans.clean import CleanOptions, sale_day
-from salesmart.plans.daily_load import daily_load
+from salesmart.plans.daily_load import LoadRejected, daily_load, utc_now
 from salesmart.plans.warehouse import Warehouse
-from salesmart.schemas import RAW_NAMES, RAW_TEXT_SCHEMA
-from salesmart.sources.csv import FILE_ORDER
+from salesmart.sources.csv import FILE_ORDER, check_header, read_sales_csv
+
+_FILES = "path string, modificationTime timestamp, length long, content binary"
+_REFUSED = "path string, reason string, refused_at timestamp_ntz"
 
 
 def load_arrivals(
@@ -27,30 +30,48 @@ def load_arrivals(
     load_ts: datetime | None = None,
     options: CleanOptions = CleanOptions(),
     max_files: int | None = None,
+    multiline: bool = False,
 ) -> StreamingQuery:
-    """Load every file of ``folder`` not loaded yet, then stop. Schedule it as often as needed."""
-    reader = spark.readStream.schema(RAW_TEXT_SCHEMA).option("header", True).option("escape", '"')
+    """Load every file of ``folder`` not loaded yet, then stop. Schedule it as often as needed.
+
+    A file that is refused does not hold up the others: it is listed, with the reason, below the
+    warehouse in ``refused``, and counts as taken.
+    """
+    reader = spark.readStream.format("binaryFile").schema(_FILES)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    files = reader.csv(folder).select(
-        *[missing_to_null(F.col(c)).alias(c) for c in RAW_NAMES],
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-    )
 
-    def load(scanned: DataFrame, _epoch: int) -> None:
-        # A stream has no row ids; its micro-batch still has the partitions of the scan.
-        rows = scanned.withColumn("_line", F.monotonically_increasing_id())
-        # One value per day in the new files.
-        days = rows.select(sale_day(rows, options.date_formats).alias("d")).distinct()
-        present = [r.d for r in days.filter("d IS NOT NULL").collect()]
-        if present:
-            warehouse = Warehouse(spark, warehouse_root)
-            daily_load(warehouse, rows, present, load_ts or datetime.now(), FILE_ORDER, options)
+    def load(arrived: DataFrame, _epoch: int) -> None:
+        # One row per file of the micro-batch; the contents are not read here.
+        paths = [r.path for r in arrived.orderBy("modificationTime", "path").select("path").collect()]
+        refused = []
+        for path in paths:
+            when = load_ts or utc_now()
+            try:
+                _load(spark, warehouse_root, path, when, options, multiline)
+            except (LoadRejected, PySparkException, ValueError) as error:
+                refused.append((path, str(error)[:2000], when))
+        if refused:
+            spark.createDataFrame(refused, _REFUSED).coalesce(1).write.mode("append").parquet(
+                f"{warehouse_root.rstrip('/')}/refused"
+            )
 
     return (
-        files.writeStream.foreachBatch(load)
+        reader.load(folder)
+        .select("path", "modificationTime")
+        .writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+
+
+def _load(
+    spark: SparkSession, root: str, path: str, load_ts: datetime, options: CleanOptions, multiline: bool
+) -> None:
+    check_header(spark, path)
+    rows = read_sales_csv(spark, path, multiline)
+    # One value per day in the file.
+    days = rows.select(sale_day(rows, options.date_formats).alias("d")).filter(F.col("d").isNotNull())
+    present = [r.d for r in days.distinct().collect()]
+    daily_load(Warehouse(spark, root), rows, present, load_ts, FILE_ORDER, options)

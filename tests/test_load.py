@@ -131,7 +131,7 @@ def test_first_load(warehouse, tmp_path):
     result = load(warehouse, path, "20250616")
     assert result.status == "SUCCESS"
     assert result.metrics == {
-        "read": 6, "filtered": 4, "bad_percents": 1, "bad_flags": 0, "warnings": 1,
+        "read": 6, "bad_records": 0, "bad_dates": 1, "filtered": 4, "bad_percents": 1, "bad_flags": 0, "warnings": 1,
         "upserted_dim_dates": 1, "upserted_customers": 2,
         "upserted_products": 1, "upserted_orders": 2, "upserted_order_items": 3,
     }
@@ -283,6 +283,70 @@ def test_arriving_files(spark, warehouse, tmp_path):
     assert warehouse.read("customers").first().first_name == "Eve"
 
 
+def test_refused_files_do_not_block_the_others(spark, warehouse, tmp_path):
+    folder, checkpoint = tmp_path / "in", str(tmp_path / "cp")
+    write_csv(folder / "a.csv", [{"quantity": "0"}])
+    good = write_csv(folder / "b.csv", [{"item_id": "2"}])
+    text = open(good).read()
+    (folder / "c.csv").write_text(text.replace("first_name,last_name", "last_name,first_name", 1))
+    (folder / "d.csv").write_text(text.rstrip("\n") + ",surplus\n")
+    load_arrivals(spark, str(folder), warehouse.root, checkpoint, T1).awaitTermination()
+    assert [r.item_id for r in warehouse.read("order_items").collect()] == [2]
+    refused = spark.read.parquet(f"{warehouse.root}/refused").collect()
+    assert sorted(r.path[-5:] for r in refused) == ["a.csv", "c.csv", "d.csv"]
+
+
+def test_malformed_records_are_refused_and_listed(spark, warehouse, tmp_path):
+    path = write_csv(tmp_path / "bad.csv", [{"item_id": str(i)} for i in range(1, 4)])
+    lines = open(path).read().splitlines()
+    lines[2] += ",surplus"
+    lines[3] = ",".join(lines[3].split(",")[:12])
+    open(path, "w").write("\n".join(lines) + "\n")
+    with pytest.raises(LoadRejected, match="2 malformed records") as error:
+        load(warehouse, path, "20250616")
+    assert spark.read.parquet(error.value.path).count() == 2
+    assert warehouse.read("order_items").count() == 0
+
+
+def test_line_breaks_inside_quotes(spark, warehouse, tmp_path):
+    path = write_csv(tmp_path / "lines.csv", [{"product_name": "two\nlines"}])
+    with pytest.raises(LoadRejected, match="malformed"):
+        load(warehouse, path, "20250616")
+    assert load(warehouse, path, "20250616", multiline=True).status == "SUCCESS"
+    assert warehouse.read("products").first().product_name == "two\nlines"
+
+
+def test_rows_without_a_date_are_counted(warehouse, tmp_path):
+    path = write_csv(tmp_path / "dates.csv", [{}, {"item_id": "2", "sale_date": "2025/06/16"}, {"item_id": "3", "sale_date": ""}])
+    metrics = load(warehouse, path, "20250616").metrics
+    assert (metrics["read"], metrics["filtered"], metrics["bad_dates"]) == (3, 1, 2)
+
+
+def test_a_second_writer_is_refused(spark, warehouse):
+    from pyspark.errors import AnalysisException
+
+    following = warehouse.manifest().next(warehouse.manifest().entries)
+    warehouse.publish(following)
+    with pytest.raises(AnalysisException):
+        warehouse.publish(following)
+    log = spark.read.parquet(f"{warehouse.root}/manifest/version={following.version}")
+    log.write.mode("append").parquet(f"{warehouse.root}/manifest/version={following.version}")
+    with pytest.raises(ValueError, match="published twice"):
+        warehouse.manifest()
+
+
+def test_scratch_must_be_shared_on_a_cluster():
+    from types import SimpleNamespace
+
+    from salesmart.session import scratch_path
+
+    cluster = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default=None: default), sparkContext=SimpleNamespace(master="spark://host:7077")
+    )
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_path(cluster, "x")
+
+
 # --- command line ---------------------------------------------------------------------------------
 
 
