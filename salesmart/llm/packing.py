@@ -72,6 +72,10 @@ class WordEncoder:
             self._learn(fresh)
         return [b"".join(map(self.words.__getitem__, ws)) for ws in words]
 
+    def forget(self) -> None:
+        """Let go of what was learned: a worker outlives its task, and others need the memory."""
+        self.words, self.letters, self.older = {}, {}, {}
+
     def _learn(self, fresh: list[bytes]) -> None:
         raw = b"\n".join(fresh).decode()
         # A capital sigma's small form depends on its place, and not for this tokenizer.
@@ -147,6 +151,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int, with_ids: bool
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
             columns = list(zip(*rows)) or [()] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+        encode.forget()
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
         run, PIECE + (", ids array<long>" if with_ids else "")
