@@ -17,14 +17,14 @@ from salesmart.plans.views import orders_with_total, sales_lines
 from salesmart.plans.warehouse import Warehouse
 from salesmart.queries import query
 from salesmart.queries.sql import (
-    BATCHES, FIRST_TS, FLAG, FLAT, PERCENT, SECOND_TS, TOTAL, UPSERTED_DATES, calendar, clean, entity, upserted, with_,
+    BATCHES, CHANGED, FIRST_TS, FLAG, FLAT, PERCENT, SECOND_TS, TOTAL, UPSERTED_DATES, calendar, clean, entity, upserted, with_,
 )
 from salesmart.schemas import (
     COLUMN_COMMENTS, CUSTOMERS, DIM_DATES, ORDER_ITEMS, ORDERS, PRODUCTS, TABLES,
 )
-from salesmart.session import scratch_path
+from salesmart.session import materialise, scratch_path
 from salesmart.sources.testtables import (
-    FLAT_ORDER, batch_rows, flat_sales, table, target_rows,
+    FLAT_ORDER, batch_rows, changed_batch, flat_sales, table, target_rows,
 )
 
 FIRST = datetime(2025, 6, 16, 6)
@@ -39,7 +39,7 @@ def _loaded(rows: DataFrame, tab, load_ts: datetime) -> DataFrame:
 
 def _two_loads(spark, sf_dir, tab, reverse: bool = False) -> DataFrame:
     flat = flat_sales(spark, sf_dir)
-    first, second = target_rows(flat), batch_rows(flat)
+    first, second = target_rows(flat), changed_batch(flat)
     if reverse:
         first, second = second, first
     batch = conform(entity_rows(clean_rows(second), tab, FLAT_ORDER), tab)
@@ -84,34 +84,34 @@ def upsert_dim_dates(spark, sf_dir):
     return upsert(existing, calendar_rows(batch_rows(flat)), DIM_DATES, SECOND)
 
 
-@query("upsert_customers", with_(BATCHES, upserted("customers")))
+@query("upsert_customers", with_(CHANGED, upserted("customers")))
 def upsert_customers(spark, sf_dir):
     return _two_loads(spark, sf_dir, CUSTOMERS)
 
 
-@query("upsert_products", with_(BATCHES, upserted("products")))
+@query("upsert_products", with_(CHANGED, upserted("products")))
 def upsert_products(spark, sf_dir):
     return _two_loads(spark, sf_dir, PRODUCTS)
 
 
-@query("upsert_orders", with_(BATCHES, upserted("orders")))
+@query("upsert_orders", with_(CHANGED, upserted("orders")))
 def upsert_orders(spark, sf_dir):
     return _two_loads(spark, sf_dir, ORDERS)
 
 
-@query("upsert_order_items", with_(BATCHES, upserted("order_items")))
+@query("upsert_order_items", with_(CHANGED, upserted("order_items")))
 def upsert_order_items(spark, sf_dir):
     return _two_loads(spark, sf_dir, ORDER_ITEMS)
 
 
-@query("upsert_backfill_order", with_(BATCHES, upserted("customers", "b", "t")))
+@query("upsert_backfill_order", with_(CHANGED, upserted("customers", "b", "t")))
 def upsert_backfill_order(spark, sf_dir):
     """The older batch loaded last: it still overwrites the attributes."""
     return _two_loads(spark, sf_dir, CUSTOMERS, reverse=True)
 
 
 # Only prices may change; known products keep all else.
-@query("upsert_generic", with_(BATCHES, f"""
+@query("upsert_generic", with_(CHANGED, f"""
 SELECT n.product_id, coalesce(o.product_name, n.product_name) AS product_name,
        coalesce(o.category, n.category) AS category, coalesce(o.brand, n.brand) AS brand,
        coalesce(o.color, n.color) AS color, coalesce(o.size, n.size) AS size,
@@ -124,22 +124,22 @@ SELECT *, {FIRST_TS} AS created_at, {FIRST_TS} AS updated_at FROM ({entity('prod
 WHERE product_id NOT IN (SELECT product_id FROM b)"""))
 def upsert_generic(spark, sf_dir):
     flat = flat_sales(spark, sf_dir)
-    batch = conform(entity_rows(clean_rows(batch_rows(flat)), PRODUCTS, FLAT_ORDER), PRODUCTS)
+    batch = conform(entity_rows(clean_rows(changed_batch(flat)), PRODUCTS, FLAT_ORDER), PRODUCTS)
     return upsert(
         _loaded(target_rows(flat), PRODUCTS, FIRST), batch, PRODUCTS, SECOND,
         update_columns=["catalog_price", "cost_price"], touch_updated_at=True,
     )
 
 
-@query("data_dictionary", with_(BATCHES, "\nUNION ALL ".join(
+@query("data_dictionary", with_(FLAT + ", " + clean("flat"), "\nUNION ALL ".join(
     f"SELECT '{name}' AS table_name, '{tab.comment}' AS table_comment, "
     f"CAST({i} AS INTEGER) AS position, '{c}' AS column_name, '{dtype.simpleString()}' AS data_type, "
     f"'{COLUMN_COMMENTS[c]}' AS column_comment, count({c}) AS n_non_null "
-    f"FROM ({calendar('t') if name == 'dim_dates' else entity(name, 't')})"
+    f"FROM ({calendar('cleaned') if name == 'dim_dates' else entity(name, 'cleaned')})"
     for name, tab in TABLES.items() for i, (c, dtype) in enumerate(tab.columns.items()))))
 def data_dictionary(spark, sf_dir):
     """Every loaded column with its comment and fill."""
-    entities = all_entities(clean_rows(target_rows(flat_sales(spark, sf_dir))), FLAT_ORDER)
+    entities = all_entities(clean_rows(flat_sales(spark, sf_dir)), FLAT_ORDER)
     parts = []
     for name, tab in TABLES.items():
         fields = tab.schema.fields[: len(tab.columns)]
@@ -170,14 +170,14 @@ def _days(rows: DataFrame) -> list:
 def _load_both(spark, sf_dir):
     warehouse = Warehouse(spark, scratch_path(spark, "warehouse"))
     warehouse.bootstrap(by="month")
-    flat = flat_sales(spark, sf_dir)
+    flat = materialise(flat_sales(spark, sf_dir), "sales-file")
     results = []
-    for rows, load_ts in ((target_rows(flat), FIRST), (batch_rows(flat), SECOND)):
+    for rows, load_ts in ((target_rows(flat), FIRST), (changed_batch(flat), SECOND)):
         results.append(daily_load(warehouse, rows, _days(rows), load_ts, FLAT_ORDER))
-    return warehouse, results
+    return warehouse, flat, results
 
 
-_MERGED = f"""{BATCHES},
+_MERGED = f"""{CHANGED},
 dim_dates AS ({UPSERTED_DATES}),
 customers AS ({upserted('customers')}),
 products AS ({upserted('products')}),
@@ -193,7 +193,7 @@ JOIN (SELECT * EXCLUDE (created_at, updated_at) FROM customers) USING (customer_
 JOIN (SELECT * EXCLUDE (created_at, updated_at) FROM products) USING (product_id)"""))
 def full_load(spark, sf_dir):
     """Two overlapping batches loaded and published, read back as one row per order line."""
-    warehouse, _ = _load_both(spark, sf_dir)
+    warehouse, _, _ = _load_both(spark, sf_dir)
     return sales_lines(warehouse.tables())
 
 
@@ -210,9 +210,9 @@ _CONTROL = {
     for name, key in _CONTROL.items())))
 def idempotent_reload(spark, sf_dir):
     """The second batch loaded once more: per table, rows that differ from the state before."""
-    warehouse, _ = _load_both(spark, sf_dir)
+    warehouse, flat, _ = _load_both(spark, sf_dir)
     before = warehouse.tables()
-    again = batch_rows(flat_sales(spark, sf_dir))
+    again = changed_batch(flat)
     daily_load(warehouse, again, _days(again), SECOND, FLAT_ORDER)
     after = warehouse.tables()
     parts = []
@@ -240,7 +240,7 @@ def idempotent_reload(spark, sf_dir):
     )
 
 
-@query("load_metrics", with_(BATCHES, """
+@query("load_metrics", with_(CHANGED, """
 SELECT 1 AS load, 'read' AS step, count(*) AS n_rows FROM t
 UNION ALL SELECT 2, 'read', count(*) FROM b
 UNION ALL SELECT 1, 'filtered', count(*) FROM t UNION ALL SELECT 2, 'filtered', count(*) FROM b
@@ -255,7 +255,7 @@ UNION ALL SELECT i, s, 0 FROM (VALUES (1), (2)) v(i), (VALUES ('bad_dates'), ('b
     f"UNION ALL SELECT {i}, 'upserted_{name}', count(DISTINCT {key}) FROM {src}"
     for i, src in ((1, "t"), (2, "b")) for name, key in _CONTROL.items())))
 def load_metrics(spark, sf_dir):
-    _, results = _load_both(spark, sf_dir)
+    _, _, results = _load_both(spark, sf_dir)
     rows = [(i, step, n) for i, r in enumerate(results, 1) for step, n in r.metrics.items()]
     return spark.createDataFrame(rows, "load int, step string, n_rows long")
 

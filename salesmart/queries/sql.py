@@ -151,6 +151,20 @@ BATCHES = (
     + clean("flat", "b", "sale_date >= DATE '1998-01-01'")
 )
 
+# The later batch with corrections to sales, lines, prices and customers.
+CHANGED = FLAT + """, changed AS (
+  SELECT * REPLACE (
+    CASE WHEN sale_id % 7 = 0 THEN CAST(sale_date + INTERVAL 31 DAY AS DATE) ELSE sale_date END AS sale_date,
+    CASE WHEN sale_id % 5 = 0 THEN 'corrected' ELSE channel END AS channel,
+    CASE WHEN h % 3 = 0 THEN quantity + 1 ELSE quantity END AS quantity,
+    CAST(CASE WHEN h % 4 = 0 THEN unit_price + 1 ELSE unit_price END AS DECIMAL(12,2)) AS unit_price,
+    CAST(CASE WHEN product_id % 3 = 0 THEN catalog_price + 5 ELSE catalog_price END AS DECIMAL(12,2))
+      AS catalog_price,
+    CAST(CASE WHEN product_id % 4 = 0 THEN cost_price + 1 ELSE cost_price END AS DECIMAL(12,2)) AS cost_price,
+    CASE WHEN customer_id % 6 = 0 THEN 'moved' ELSE country END AS country)
+  FROM flat WHERE sale_date >= DATE '1998-01-01'
+), """ + clean("flat", "t", "sale_date < DATE '1998-07-01'") + ", " + clean("changed", "b")
+
 
 def upserted(table: str, first: str = "t", second: str = "b") -> str:
     """SELECT over the table after loading ``first`` and then ``second``."""

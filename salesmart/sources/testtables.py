@@ -117,3 +117,19 @@ def target_rows(flat: DataFrame) -> DataFrame:
 def batch_rows(flat: DataFrame) -> DataFrame:
     """The later of two overlapping batches."""
     return flat.filter(F.col("sale_date") >= F.lit(BATCH_START).cast("date"))
+
+
+def changed_batch(flat: DataFrame) -> DataFrame:
+    """The later batch with corrections: sales a month later or through another channel, other
+    quantities, unit prices, catalog and cost prices, and customers who moved."""
+    changes = {
+        "sale_date": "case when sale_id % 7 = 0 then date_add(sale_date, 31) else sale_date end",
+        "channel": "case when sale_id % 5 = 0 then 'corrected' else channel end",
+        "quantity": "case when h % 3 = 0 then quantity + 1 else quantity end",
+        "unit_price": "case when h % 4 = 0 then cast(unit_price + 1 as decimal(12,2)) else unit_price end",
+        "catalog_price": "case when product_id % 3 = 0 then cast(catalog_price + 5 as decimal(12,2))"
+        " else catalog_price end",
+        "cost_price": "case when product_id % 4 = 0 then cast(cost_price + 1 as decimal(12,2)) else cost_price end",
+        "country": "case when customer_id % 6 = 0 then 'moved' else country end",
+    }
+    return batch_rows(flat).selectExpr(*[f"{changes[c]} as {c}" if c in changes else c for c in flat.columns])
