@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -293,31 +292,28 @@ def distinct_entities(df: DataFrame) -> DataFrame:
 def dependency_violations(df: DataFrame, dependencies: Mapping[str, Sequence[str]]) -> DataFrame:
     """For every ``key -> attribute`` the number of keys that have more than one value.
 
-    The pairs of key and value are made distinct by hashing, on the map side first, so a key
-    with a third of the rows sends its distinct values and no more. NULL is no value.
+    A key has several values exactly if its smallest and largest differ, so one aggregate per
+    key covers all its attributes and nothing has to be made distinct.
     """
     reports = []
     for key, attributes in dependencies.items():
-        values = [F.struct(F.lit(i).alias("ord"), F.col(a).cast("string").alias("v")) for i, a in enumerate(attributes)]
-        per_key = (
-            df.filter(F.col(key).isNotNull())
-            .select(F.col(key).alias("k"), F.inline(F.array(*values)))
-            .distinct()
-            .groupBy("k", "ord")
-            .agg(F.count("v").alias("n"))
-        )
-        # Without keys every dependency still has its line.
-        names = df.sparkSession.createDataFrame(list(enumerate(attributes)), "ord int, attribute string")
-        found = per_key.groupBy("ord").agg(F.count_if(F.col("n") > 1).alias("bad"), F.count("*").alias("keys"))
-        reports.append(
-            names.join(found, "ord", "left").select(
+        bounds = [F.min(a).alias(f"lo_{a}") for a in attributes]
+        bounds += [F.max(a).alias(f"hi_{a}") for a in attributes]
+        per_key = df.filter(F.col(key).isNotNull()).groupBy(key).agg(*bounds)
+        rows = [
+            F.struct(
                 F.lit(key).alias("key_column"),
-                "attribute",
-                F.coalesce("bad", F.lit(0)).alias("n_violating_keys"),
-                F.coalesce("keys", F.lit(0)).alias("n_keys"),
+                F.lit(a).alias("attribute"),
+                F.count_if(F.col(f"lo_{a}") != F.col(f"hi_{a}")).alias("n_violating_keys"),
+                F.count("*").alias("n_keys"),
             )
-        )
-    return reduce(DataFrame.unionByName, reports)
+            for a in attributes
+        ]
+        reports.append(per_key.agg(F.array(*rows).alias("r")).select(F.inline("r")))
+    result = reports[0]
+    for report in reports[1:]:
+        result = result.unionByName(report)
+    return result
 
 
 def product_price_stats(df: DataFrame) -> DataFrame:

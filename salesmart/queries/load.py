@@ -201,15 +201,23 @@ _CONTROL = {
     "dim_dates": "date_id", "customers": "customer_id", "products": "product_id",
     "orders": "sale_id", "order_items": "item_id",
 }
+# What the second batch corrects, as a number.
+_VALUE = {
+    "dim_dates": "week_number", "customers": "length(country)",
+    "products": "CAST(catalog_price * 100 AS BIGINT)", "orders": "date_id + length(channel)",
+    "order_items": "CAST(item_total * 100 AS BIGINT)",
+}
 
 
 @query("idempotent_reload", with_(_MERGED, "\nUNION ALL ".join(
     f"SELECT '{name}' AS table_name, count(*) AS n_rows, CAST(sum({key}) AS BIGINT) AS key_sum, "
+    f"CAST(sum({_VALUE[name]}) AS BIGINT) AS value_sum, "
     f"count(*) FILTER (WHERE created_at = {FIRST_TS}) AS n_first_load, CAST(0 AS BIGINT) AS n_changed "
     f"FROM {'sales' if name == 'orders' else name}"
     for name, key in _CONTROL.items())))
 def idempotent_reload(spark, sf_dir):
-    """The second batch loaded once more: per table, rows that differ from the state before."""
+    """The second batch loaded once more: per table its control sums, and the rows that differ
+    from the state before."""
     warehouse, flat, _ = _load_both(spark, sf_dir)
     before = warehouse.tables()
     again = changed_batch(flat)
@@ -228,6 +236,7 @@ def idempotent_reload(spark, sf_dir):
             balance.agg(
                 F.sum("_n").alias("n_rows"),
                 F.sum(F.col(key).cast("bigint") * F.col("_n")).alias("key_sum"),
+                F.sum(F.expr(_VALUE[name]).cast("bigint") * F.col("_n")).alias("value_sum"),
                 F.sum(
                     F.when(F.col("created_at") == stamp(FIRST), F.col("_n"))
                     .otherwise(0)
@@ -236,7 +245,7 @@ def idempotent_reload(spark, sf_dir):
             ).withColumn("table_name", F.lit(name))
         )
     return reduce(DataFrame.unionByName, parts).select(
-        "table_name", "n_rows", "key_sum", "n_first_load", "n_changed"
+        "table_name", "n_rows", "key_sum", "value_sum", "n_first_load", "n_changed"
     )
 
 
