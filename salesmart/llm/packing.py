@@ -28,7 +28,7 @@ from salesmart.session import materialise
 
 END = 1
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
-REMEMBERED = 800_000
+REMEMBERED = 500_000
 PUNCTUATION = ".,;:!?"
 
 
