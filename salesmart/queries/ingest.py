@@ -11,9 +11,7 @@ from salesmart.functions.values import (
     clean_flag,
     clean_percent,
     item_total,
-    nan_to_null,
     percent_is_bad,
-    percent_or_null,
     sale_product_key,
 )
 from salesmart.operators.merge import upsert
@@ -183,15 +181,14 @@ def clean_discounted(spark, sf_dir):
     )
 
 
-@query("nan_to_null", with_(DIRTY, f"SELECT item_id, product_id, copy, {PERCENT} AS percent FROM dirty"))
+@query("nan_to_null", with_(DIRTY, """
+SELECT item_id, product_id, copy, CASE WHEN h % 6 > 1 THEN CAST(seq2 AS DOUBLE) END AS amount FROM dirty"""))
 def nan_cells(spark, sf_dir):
-    """Percent as a float reader holds it, NaN for every missing or bad cell, and back to NULL."""
-    holed = F.coalesce(percent_or_null(F.col("discount_percent")), F.lit(float("nan")))
-    return (
-        dirty_sales(spark, sf_dir)
-        .select("item_id", "product_id", "copy", holed.alias("percent"))
-        .withColumn("percent", nan_to_null(F.col("percent")))
-    )
+    """A float column with NaN in some rows and NULL in others, cleaned with the rest of the row."""
+    dirty = dirty_sales(spark, sf_dir)
+    holed = F.when(F.col("h") % 6 == 0, F.lit(float("nan"))).when(F.col("h") % 6 > 1, F.col("seq2").cast("double"))
+    rows = dirty.withColumn("amount", holed).withColumn("sale_date", sale_day(dirty))
+    return clean_rows(rows).select("item_id", "product_id", "copy", "amount")
 
 
 @query("project_order_items", with_(FLAT + ", " + clean("flat"), f"""

@@ -51,8 +51,10 @@ DIRTY = FLAT + """, dirty AS (
          CAST(CASE WHEN h % 19 = 0 THEN -1 ELSE discount_applied END AS DECIMAL(12,2))
            AS discount_applied,
          CASE WHEN h % 19 = 0 THEN '0%' WHEN h % 89 = 0 THEN NULL WHEN h % 83 = 0 THEN 'n/a'
-              WHEN h % 67 = 0 THEN '150%' ELSE discount_percent END AS discount_percent,
-         CASE WHEN h % 61 = 0 THEN NULL ELSE discounted END AS discounted,
+              WHEN h % 67 = 0 THEN '150%' WHEN h % 17 = 0 THEN '-5%' WHEN h % 13 = 0 THEN '15.126%'
+              ELSE discount_percent END AS discount_percent,
+         CASE WHEN h % 61 = 0 THEN NULL WHEN h % 13 = 0 THEN '0' WHEN h % 11 = 0 THEN '2'
+              ELSE discounted END AS discounted,
          item_total,
          CASE WHEN h % 29 = 0 THEN repeat('x', 60) ELSE channel END AS channel,
          channel_campaigns, total_amount,
@@ -97,7 +99,8 @@ PERCENT = (
     "THEN TRY_CAST(replace(discount_percent, '%', '') AS DOUBLE) END"
 )
 FLAG = (
-    "CASE WHEN lower(discounted) = 'true' THEN true WHEN lower(discounted) = 'false' THEN false END"
+    "CASE WHEN lower(discounted) = 'true' THEN true WHEN lower(discounted) = 'false' THEN false "
+    "WHEN regexp_matches(discounted, '" + NUMBER + "') THEN TRY_CAST(discounted AS DOUBLE) <> 0 END"
 )
 DAY = "TRY_CAST(sale_date AS DATE)"
 

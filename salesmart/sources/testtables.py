@@ -86,8 +86,9 @@ def dirty_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         "discount_applied": "case when h % 19 = 0 then cast(-1 as decimal(12,2))"
         " else discount_applied end",
         "discount_percent": "case when h % 19 = 0 then '0%' when h % 89 = 0 then null"
-        " when h % 83 = 0 then 'n/a' when h % 67 = 0 then '150%' else discount_percent end",
-        "discounted": "case when h % 61 = 0 then null else discounted end",
+        " when h % 83 = 0 then 'n/a' when h % 67 = 0 then '150%' when h % 17 = 0 then '-5%'"
+        " when h % 13 = 0 then '15.126%' else discount_percent end",
+        "discounted": "case when h % 61 = 0 then null when h % 13 = 0 then '0' when h % 11 = 0 then '2' else discounted end",
         "channel": "case when h % 29 = 0 then repeat('x', 60) else channel end",
         "product_name": "case when h % 71 = 0 then null else product_name end",
         "catalog_price": "case when h % 23 = 0 then cast('99999999999.99' as decimal(18,2))"
