@@ -19,7 +19,8 @@ def keep_last(df: DataFrame, key: str, order: Sequence[str], columns: Sequence[s
 
 def _pick(df: DataFrame, key: str, columns: Sequence[str], choose, order: Sequence[str]) -> DataFrame:
     # An aggregate, not a window: every map task reduces its rows to one per key before the
-    # shuffle, so a key that holds a third of the table costs one row per task.
+    # shuffle, so a key that holds a third of the table costs one row per task. A struct is no
+    # buffer for hash aggregation, so the task sorts its rows by the key for that.
     payload: list[str] = [c for c in columns if c != key]
     row: Column = choose(F.struct(*payload), F.struct(*order))
     return df.groupBy(key).agg(row.alias("_row")).select(

@@ -153,11 +153,21 @@ def test_reload_changes_nothing(warehouse, tmp_path):
     assert state(warehouse) == before
 
 
+def test_status_per_day(warehouse, tmp_path):
+    path = write_csv(tmp_path / "a.csv", [{}, {"item_id": "2", "sale_date": "2025-06-18"}])
+    result = load(warehouse, path, ["20250616", "20250617", "20250618"])
+    assert result.status == "SUCCESS"
+    assert sorted(map(tuple, result.days.collect())) == [
+        (20250616, "SUCCESS", 1), (20250617, "NO_DATA", 0), (20250618, "SUCCESS", 1),
+    ]
+
+
 def test_no_data_and_empty_source(warehouse, tmp_path):
     path = write_csv(tmp_path / "a.csv", [{}])
     version = warehouse.manifest().version
     result = load(warehouse, path, "20250101")
     assert (result.status, result.version) == ("NO_DATA", version)
+    assert [tuple(r) for r in result.days.collect()] == [(20250101, "NO_DATA", 0)]
     assert warehouse.manifest().version == version
     with pytest.raises(ValueError, match="no rows"):
         load(warehouse, write_csv(tmp_path / "empty.csv", []), "20250616")
