@@ -40,10 +40,16 @@ def _words(flat: bytes) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
 
 def _sent(found: dict, bucket: np.ndarray, buckets: int) -> list[tuple[int, int, bytes]]:
     norm, begin, end = found["norm"], found["begin"].tolist(), found["end"].tolist()
+    id_list, start_list = found["id"].tolist(), found["start"].tolist()
     known: dict[bytes, int] = {}
     first, again = [], []
-    for n, (a, b) in enumerate(zip(begin, end)):
-        (first if known.setdefault(norm[a:b], n) == n else again).append(n)
+    # In order of places: rows of one document may interleave.
+    for n in np.lexsort((found["start"], found["id"])).tolist():
+        f = known.setdefault(norm[begin[n] : end[n]], n)
+        if f == n:
+            first.append(n)
+        elif id_list[f] != id_list[n] or start_list[f] != start_list[n]:  # equal rows do not repeat each other
+            again.append(n)
     ids, start, words = found["id"], found["start"], found["words"]
     rows = mz.span_rows(ids[again], start[again], start[again] + words[again], buckets) if again else []
     kept = np.array(first, np.int64)

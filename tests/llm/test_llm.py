@@ -112,6 +112,19 @@ def test_equal_rows_do_not_repeat_each_other(spark):
         ]
 
 
+def test_equal_rows_in_one_chunk(spark):
+    """Rows of one document that one task reads; without an id too."""
+    text = " ".join(f"w{i}" for i in range(40))
+    operators = (substring_dedup.dedup_substrings, suffix_dedup.dedup_strings)
+    for id_ in (1, None):
+        rows = [(id_, text), (id_, text), (2, text)]
+        frame = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+        for operator in operators:
+            assert sorted((r.doc_id or 0, r.n_removed > 0) for r in operator(frame).collect()) == [
+                (id_ or 0, False), (id_ or 0, False), (2, True),
+            ]
+
+
 def test_hot_phrase(spark):
     """A phrase in all documents with other words around it, and buckets that it would fill."""
     rows = [(i, " ".join([f"a{i * 31 + k}" for k in range(15)] + ["the", "same", "phrase"] + [f"b{i * 17 + k}" for k in range(15)])) for i in range(300)]
