@@ -8,6 +8,7 @@ stretch, and equal windows have equal minimisers, so they meet in the bucket of
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +20,7 @@ from salesmart.llm.common import LEAST_ID, python_tasks, texts
 
 BUCKET_BYTES = 16 << 20
 CELLS_PER_BUCKET = 16
+PASSES = 3
 PLACE_BITS = 26
 BASE = 0x9E3779B97F4A7C15 | 1
 ROWS = "bucket int, kind int, data binary"
@@ -84,30 +86,64 @@ def smallest_in_windows(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[: len(values) - (width - have)], values[width - have :]) if have < width else values
 
 
-def stretches(hash_: np.ndarray, owner: np.ndarray, width: int, gram: int, hot: np.ndarray, cell_bits: int):
+class Cells(NamedTuple):
+    """What all tasks know of the cells of gram hashes: those whose grams give way to others, and
+    those whose windows go to buckets of their own."""
+
+    bits: int
+    hot: np.ndarray = np.zeros(0, np.uint64)
+    split: np.ndarray = np.zeros(0, np.uint64)
+
+    def of(self, hash_: np.ndarray) -> np.ndarray:
+        return hash_ >> np.uint64(64 - self.bits)
+
+
+def stretches(hash_: np.ndarray, owner: np.ndarray, width: int, gram: int, cells: Cells):
     """First window, last window and minimiser place of every stretch.
 
     ``hash_`` holds the hashes of the grams of ``gram`` symbols, ``owner`` the document of each
-    symbol. A gram whose cell is hot is a minimiser only where a window has no other.
+    symbol. A gram whose cell is hot is a minimiser only where a window has no other. A window
+    whose minimiser is in a split cell is a stretch by itself.
     """
     none = np.zeros(0, np.int64)
     if len(owner) < width:
         return none, none, none
     key = (hash_ >> np.uint64(1)) >> np.uint64(PLACE_BITS) << np.uint64(PLACE_BITS)
     key |= np.arange(len(key), dtype=np.uint64)
-    if len(hot):
-        cold = np.isin(hash_ >> np.uint64(64 - cell_bits), hot)
-        key[cold] |= np.uint64(1 << 63)
+    if len(cells.hot):
+        key[np.isin(cells.of(hash_), cells.hot)] |= np.uint64(1 << 63)
     places = smallest_in_windows(key, width - gram + 1) & np.uint64((1 << PLACE_BITS) - 1)
     whole = np.flatnonzero(owner[: len(owner) - width + 1] == owner[width - 1 :])
     if not len(whole):
         return none, none, none
     places = places[whole].astype(np.int64)
-    turn = np.flatnonzero(np.diff(places)) + 1
+    turn = np.diff(places) != 0
+    if len(cells.split):
+        turn |= np.isin(cells.of(hash_[places[1:]]), cells.split)
+    turn = np.flatnonzero(turn) + 1
     first, last = np.append(0, turn), np.append(turn, len(places)) - 1
     return whole[first], whole[last], places[first]
 
 
+def keys(hash_: np.ndarray, running: np.ndarray, first: np.ndarray, width: int, cells: Cells) -> np.ndarray:
+    """What decides the bucket of each stretch: its minimiser's hash, or in split cells its window's."""
+    out = hash_.copy()
+    if len(cells.split):
+        apart = first[at := np.flatnonzero(np.isin(cells.of(hash_), cells.split))]
+        out[at] = hashes(running, apart, apart + width)
+    return out
+
+
+def around(found: dict, cells: Cells) -> np.ndarray:
+    """Hashes of the grams in windows whose minimiser would be hot, if hot ones did not give way."""
+    hash_, (width, gram) = found["grams"], found["shape"]
+    first, last, at = stretches(hash_, found["owner"], width, gram, Cells(cells.bits))
+    touched = np.isin(cells.of(hash_[at]), cells.hot)
+    size = len(hash_) + 1
+    edge = np.bincount(first[touched], minlength=size) - np.bincount(last[touched] + width - gram + 1, minlength=size)
+    return hash_[np.cumsum(edge)[:-1] > 0]
+
+
 def packed(columns: list[np.ndarray], text: bytes) -> bytes:
     """Integer columns (of any lengths) and a text as one compressed string.
 
@@ -188,56 +224,86 @@ def repeated_spans(
     prepare: Callable,
     send: Callable,
     meet: Callable[[pa.Table], pa.Table],
+    passes: int = PASSES,
 ) -> DataFrame:
     """``_id, spans`` (array of from, to) of the repeated windows of each document.
 
-    ``prepare(chunk, hot, cell_bits)`` finds the chunk's stretches and returns them with the
-    hashes of their minimisers; ``send(chunk, prepared, bucket of each stretch, buckets)`` makes
-    the rows for the buckets; ``meet`` finds a bucket's spans.
-
-    Before, one pass counts the stretches of all documents by cells of minimiser hashes. Cells
-    with more than a quarter of a bucket are hot, and their grams give way to others, so that a
-    frequent phrase does not draw all its surroundings into one bucket. There are at most 4 hot
-    cells to a bucket; that list is what all tasks get.
+    ``prepare(chunk, cells)`` finds the chunk's stretches and returns them with the hashes of
+    their minimisers; ``send(prepared, bucket of each stretch, buckets)`` makes the rows for the
+    buckets; ``meet`` finds a bucket's spans.
+
+    Before, a pass weighs the stretches of all documents by cells of minimiser hashes, a string
+    once a chunk. Cells with more than a quarter of a bucket are hot, and their grams give way to
+    others, so that a frequent phrase does not draw all its surroundings into one bucket. Then
+    other grams of a longer passage may be hot: as long as there are any, and the bytes beyond
+    that limit go down, the pass is repeated with the new list (at most ``passes`` in all), which
+    then also gets the grams that are frequent around hot ones. The best list after the first pass
+    counts. A cell that
+    has more than a bucket with it (say, text of a few words only, all of them hot) is split: its
+    windows are dealt one by one, by their own hash. A pass finds at most 4 hot cells and a
+    frequent one to a bucket; these lists are what all tasks get.
     """
     spark = docs.sparkSession
     python_tasks(spark)
     source = texts(docs).select("_id", F.coalesce("text", F.lit("")).alias("text"))
     total = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-33 * total // (10 * BUCKET_BYTES)))
-    cell_bits = (CELLS_PER_BUCKET * buckets - 1).bit_length()
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(0, np.uint64)
-        number = np.zeros(0, np.int64)
-        weight = np.zeros(0, np.int64)
-        for chunk in chunks(batches, size, cut):
-            found = prepare(chunk, np.zeros(0, np.uint64), cell_bits)
-            cells = np.concatenate([seen, found["hash"] >> np.uint64(64 - cell_bits)])
-            weights = np.concatenate([weight, found["bytes"]])
-            seen, at = np.unique(cells, return_inverse=True)
-            weight = np.bincount(at, weights, len(seen)).astype(np.int64)
-        number = seen.astype(np.int64)
-        for at in range(0, len(number), 10_000):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(number[at : at + 10_000]), pa.array(weight[at : at + 10_000])], names=["cell", "n"]
-            )
-
-    hot = sorted(
-        r.cell
-        for r in source.mapInArrow(count, "cell long, n long")
-        .groupBy("cell")
-        .agg(F.sum("n").alias("n"))
-        .filter(F.col("n") > BUCKET_BYTES // 4)
-        .select("cell")
-        .collect()
-    )
-    shared = spark.sparkContext.broadcast(np.array(hot, np.uint64))
+    limit = BUCKET_BYTES // 4
+
+    def weigh(cells: Cells) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
+        """Bytes beyond the limit, the cells that are too heavy, those of frequent grams around hot
+        ones, and those with more than a whole bucket."""
+        known = spark.sparkContext.broadcast(cells)
+
+        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            cells = known.value
+            seen = np.zeros(0, np.uint64)
+            weight = near = np.zeros(0, np.int64)
+            for chunk in chunks(batches, size, cut):
+                found = prepare(chunk, cells)
+                _, once = np.unique(found["same"], return_index=True)
+                here, bytes_ = cells.of(found["hash"][once]), found["bytes"][once]
+                by = cells.of(around(found, cells)) if len(cells.hot) and len(once) else seen[:0]
+                mean = int(bytes_.mean()) if len(once) else 0
+                seen, at = np.unique(np.concatenate([seen, here, by]), return_inverse=True)
+                none = np.zeros(len(by), np.int64)
+                weight = np.bincount(at, np.concatenate([weight, bytes_, none]), len(seen)).astype(np.int64)
+                near = np.bincount(at, np.concatenate([near, 0 * bytes_, none + mean]), len(seen)).astype(np.int64)
+            columns = seen.astype(np.int64), weight, near
+            for at in range(0, len(seen), 10_000):
+                yield pa.RecordBatch.from_arrays([pa.array(c[at : at + 10_000]) for c in columns], names=["cell", "n", "near"])
+
+        rows = (
+            source.mapInArrow(count, "cell long, n long, near long")
+            .groupBy("cell")
+            .agg(F.sum("n").alias("n"), F.sum("near").alias("near"))
+            .filter((F.col("n") > limit) | (F.col("near") > limit))
+            .collect()
+        )
+        usual = 16 * sum(r.near for r in rows) >> cells.bits
+        heavy = [r.cell for r in rows if r.n > limit]
+        frequent = [r.cell for r in rows if r.near > max(limit, usual)]
+        large = [r.cell for r in rows if r.n > BUCKET_BYTES]
+        return sum(max(0, r.n - limit) for r in rows), *(np.array(sorted(c), np.uint64) for c in (heavy, frequent, large))
+
+    cells = Cells((CELLS_PER_BUCKET * buckets - 1).bit_length())
+    least, best = 0, cells
+    for turn in range(passes):
+        beyond, heavy, frequent, large = weigh(cells)
+        if turn > 1 and beyond >= least:
+            break
+        least, best = beyond, cells._replace(split=large)
+        new = np.setdiff1d(heavy, cells.hot)
+        if not len(new):
+            break
+        cells = cells._replace(hot=np.union1d(np.union1d(cells.hot, new), frequent))
+    shared = spark.sparkContext.broadcast(best if passes > 1 else cells)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in chunks(batches, size, cut):
-            found = prepare(chunk, shared.value, cell_bits)
-            bucket = (mixed(found["hash"]) % np.uint64(buckets)).astype(np.int64)
+            found = prepare(chunk, shared.value)
+            del found["grams"], found["owner"]
+            bucket = (mixed(found["key"]) % np.uint64(buckets)).astype(np.int64)
             rows = send(found, bucket, buckets)
             for at in range(0, len(rows), 256):
                 yield rows_of(rows[at : at + 256])

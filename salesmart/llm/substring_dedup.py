@@ -79,7 +79,7 @@ def dedup_substrings(docs: DataFrame, width: int = 20) -> DataFrame:
         for at in range(0, max(1, len(words) - width + 1), step):
             yield id_, at, b" ".join(words[at : at + step + width - 1])
 
-    def prepare(chunk: mz.Chunk, hot: np.ndarray, cell_bits: int) -> dict:
+    def prepare(chunk: mz.Chunk, cells: mz.Cells) -> dict:
         ids = np.array([p[0] for p in chunk], np.int64)
         base = np.array([p[1] for p in chunk], np.int64)
         sizes = np.array([len(p[2]) + 1 for p in chunk], np.int64)
@@ -87,12 +87,18 @@ def dedup_substrings(docs: DataFrame, width: int = 20) -> DataFrame:
         owner = np.searchsorted(np.cumsum(sizes) - 1, place)
         nth = np.arange(len(owner)) - np.searchsorted(owner, owner)
         words = mz.hashes(mz.sums(np.frombuffer(norm, np.uint8)), begin, end)
-        grams = mz.hashes_of_width(mz.sums(words), GRAM)
-        first, last, at = mz.stretches(grams, owner, width, GRAM, hot, cell_bits)
+        running = mz.sums(words)
+        grams = mz.hashes_of_width(running, GRAM)
+        first, last, at = mz.stretches(grams, owner, width, GRAM, cells)
         doc = owner[first]
         return {
             "norm": norm,
+            "grams": grams,
+            "owner": owner,
+            "shape": (width, GRAM),
             "hash": grams[at],
+            "key": mz.keys(grams[at], running, first, width, cells),
+            "same": mz.hashes(running, first, last + width),
             "begin": begin[first],
             "end": end[last + width - 1],
             "bytes": end[last + width - 1] - begin[first],

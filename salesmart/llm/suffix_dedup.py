@@ -67,18 +67,24 @@ def dedup_strings(docs: DataFrame, width: int = 50) -> DataFrame:
         for at in range(0, max(1, len(text) - width + 1), CHUNK):
             yield id_, at, text[at : at + CHUNK + width - 1]
 
-    def prepare(chunk: mz.Chunk, hot: np.ndarray, cell_bits: int) -> dict:
+    def prepare(chunk: mz.Chunk, cells: mz.Cells) -> dict:
         ids = np.array([p[0] for p in chunk], np.int64)
         base = np.array([p[1] for p in chunk], np.int64)
         sizes = np.array([len(p[2]) for p in chunk], np.int64)
         flat = b"".join([p[2] for p in chunk])
         owner = np.repeat(np.arange(len(chunk), dtype=np.int32), sizes)
-        rolling = mz.hashes_of_width(mz.sums(np.frombuffer(flat, np.uint8)), TRIGGER)
-        first, last, at = mz.stretches(rolling, owner, width, TRIGGER, hot, cell_bits)
+        running = mz.sums(np.frombuffer(flat, np.uint8))
+        rolling = mz.hashes_of_width(running, TRIGGER)
+        first, last, at = mz.stretches(rolling, owner, width, TRIGGER, cells)
         doc = owner[first]
         return {
             "flat": flat,
+            "grams": rolling,
+            "owner": owner,
+            "shape": (width, TRIGGER),
             "hash": rolling[at],
+            "key": mz.keys(rolling[at], running, first, width, cells),
+            "same": mz.hashes(running, first, last + width),
             "begin": first,
             "end": last + width,
             "bytes": last + width - first,
@@ -109,7 +115,8 @@ def dedup_strings(docs: DataFrame, width: int = 50) -> DataFrame:
             spans.append([ids[place], at, at + width])
         return mz.spans_batch(*mz.merged(*(np.concatenate(c) for c in zip(*spans))))
 
-    spans = mz.repeated_spans(docs, CHUNK, cut, prepare, _sent, meet)
+    # Windows dealt one by one took too much disk here, so hot triggers give way once (see README).
+    spans = mz.repeated_spans(docs, CHUNK, cut, prepare, _sent, meet, passes=1)
     numbers = {"n_bytes": pa.int64(), "n_removed": pa.int64(), "n_spans": pa.int64()}
     return mz.without_spans(docs, spans, _cut, {**numbers, "kept": pa.binary()})
 

@@ -139,6 +139,34 @@ def test_hot_phrase(spark):
         minimisers.BUCKET_BYTES = size
 
 
+def test_hot_passage(spark, monkeypatch):
+    """A passage of 30 words with other words around it, and text of two words: no bucket of op1 gets it all."""
+    rows = [(i, " ".join([*(f"a{i * 31 + k}" for k in range(20)), *(f"same{k}" for k in range(30)), *(f"b{i * 17 + k}" for k in range(20))])) for i in range(300)]
+    rows += [(1000 + i, rows[i][1]) for i in range(0, 300, 7)]
+    rng = np.random.default_rng(1)
+    rows += [(2000 + i, " ".join(rng.choice(["x", "y"], 60))) for i in range(100)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(minimisers, "BUCKET_BYTES", 16_000)
+    same(OPERATORS["substrings"](frame), brute.substrings(rows))
+    same(OPERATORS["strings"](frame), brute.strings(rows))
+
+    largest = []
+    original = minimisers.repeated_spans
+
+    def weighed(docs, size, cut, prepare, send, meet):
+        def weigh(table):
+            strings = minimisers.strings_of(table)[0]
+            return minimisers.spans_batch([sum(map(len, strings))], [0], [0])
+
+        sizes = original(docs, size, cut, prepare, send, weigh)
+        largest.append(max(r._id for r in sizes.collect()))
+        return sizes
+
+    monkeypatch.setattr(minimisers, "repeated_spans", weighed)
+    substring_dedup.dedup_substrings(frame)
+    assert max(largest) < 2 * minimisers.BUCKET_BYTES, largest
+
+
 def test_long_texts_are_cut_without_loss(spark, monkeypatch):
     words = [f"w{i * i % 977}" for i in range(3000)]
     rows = [(1, " ".join(words)), (2, " ".join(words[500:2500])), (3, "x " + " ".join(words[900:960]))]
