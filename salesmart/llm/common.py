@@ -19,6 +19,9 @@ LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 LEAST_ID = -(2**63)
 
+# Texts can be long and a batch is held in memory, here and in the task's Python.
+BATCH_BYTES = 1 << 20
+
 
 def lower_ascii(text: Column) -> Column:
     """``text`` with A-Z lower-cased and every other character as it is."""
@@ -46,13 +49,12 @@ def whole_row(docs: DataFrame, whole: bool) -> list[Column]:
 _SHIPPED: set[str] = set()
 
 
-def python_tasks(spark: SparkSession, rows: int = 500) -> None:
-    """Make ready for Python in tasks: bound an Arrow batch to ``rows``, and send this package.
+def python_tasks(spark: SparkSession) -> None:
+    """Make ready for Python in tasks: bound the bytes of an Arrow batch, and send this package.
 
-    Texts can be long and a batch is held in memory. Executors get the package as an archive, so
-    they need no copy of it.
+    The bound is one for all operators, so a frame that is run later meets the same. Executors get the package as an archive, so they need no copy of it.
     """
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     application = spark.sparkContext.applicationId
     if application not in _SHIPPED:
         root = Path(__file__).resolve().parents[1]

@@ -9,6 +9,7 @@ from salesmart.llm import (
     decontaminate,
     language_id,
     line_dedup,
+    merkle,
     packing,
     quality_rules,
     secret_scan,
@@ -119,6 +120,14 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@register
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = merkle.manifest(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", F.col("proof").alias("proof_sha256"), "folded_root", "verified"
+    )
+
+
 _STRIPPED = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -236,3 +245,62 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM docs LEFT JOIN words USING (doc_id) LEFT JOIN names USING (doc_id)
 """
+
+# CRC-32 of a decimal number, bit by bit.
+_CRC32 = """xor(list_reduce(list_transform(string_split({}::VARCHAR, ''), lambda x: ascii(x)::BIGINT), lambda c, b:
+  list_reduce(range(8), lambda d, i: CASE WHEN d % 2 = 1 THEN xor(d // 2, 3988292384) ELSE d // 2 END, xor(c, b)),
+  4294967295), 4294967295)"""
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen({value}::VARCHAR) || ':' || {value}::VARCHAR, '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_field(v) for v in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+_LEVEL = """
+  SELECT tree, level + 1, pos // 8, sha256(string_agg(h, '' ORDER BY pos))
+  FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM {}) WHERE n > 1 GROUP BY tree, level, pos // 8"""
+
+SQL["op12_merkle_manifest"] = f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, leaf, other, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree,
+         row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos
+  FROM (SELECT doc_id, lang, {_leaf('text')} AS leaf,
+               CASE WHEN {_CRC32.format('doc_id')} % 3 = 0 THEN {_leaf(_LOWER.format('text'))} END AS other
+        FROM documents)
+), low AS (
+  SELECT tree, 0 AS level, pos, leaf AS h FROM leaves UNION ALL {_LEVEL.format('low')}
+), subroots AS (SELECT tree, max(level) AS levels, arg_max(h, level) AS subroot FROM low GROUP BY tree),
+high AS (
+  SELECT 0 AS tree, 0 AS level, tree AS pos, subroot AS h FROM subroots UNION ALL {_LEVEL.format('high')}
+), root AS (SELECT max(level) AS levels, arg_max(h, level) AS root FROM high),
+steps AS (
+  SELECT tree, pos, unnest(generate_series(0, levels - 1)) AS step, false AS top FROM leaves JOIN subroots USING (tree)
+  UNION ALL
+  SELECT l.tree, l.pos, unnest(generate_series(s.levels, s.levels + root.levels - 1)), true
+  FROM leaves l JOIN subroots s USING (tree), root
+), places AS (
+  SELECT t.tree, t.pos, t.step, top, CASE WHEN top THEN 0 ELSE t.tree END AS in_tree,
+         CASE WHEN top THEN t.step - s.levels ELSE t.step END AS level,
+         CASE WHEN top THEN t.tree ELSE t.pos END // pow(8, CASE WHEN top THEN t.step - s.levels ELSE t.step END)::BIGINT AS at
+  FROM steps t JOIN subroots s USING (tree)
+), nodes AS (SELECT false AS top, * FROM low UNION ALL SELECT true, * FROM high),
+siblings AS (
+  SELECT p.tree, p.pos, p.step, coalesce(string_agg(h, '' ORDER BY n.pos) FILTER (n.pos < p.at), '') AS lefts,
+         coalesce(string_agg(h, '' ORDER BY n.pos) FILTER (n.pos > p.at), '') AS rights
+  FROM places p JOIN nodes n ON n.top = p.top AND n.tree = p.in_tree AND n.level = p.level AND n.pos // 8 = p.at // 8
+  GROUP BY p.tree, p.pos, p.step
+), proofs AS (
+  SELECT tree, pos, string_agg(lefts || rights, '' ORDER BY step) AS proof FROM siblings GROUP BY tree, pos
+), folded AS (
+  SELECT tree, pos, 0 AS step, coalesce(other, leaf) AS h FROM leaves
+  UNION ALL
+  SELECT f.tree, f.pos, f.step + 1, sha256(lefts || f.h || rights)
+  FROM folded f JOIN siblings s ON s.tree = f.tree AND s.pos = f.pos AND s.step = f.step
+), ends AS (SELECT tree, pos, arg_max(h, step) AS folded_root FROM folded GROUP BY tree, pos)
+SELECT doc_id, leaf, subroot, root, sha256(coalesce(proof, '')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM leaves JOIN subroots USING (tree) JOIN ends USING (tree, pos) LEFT JOIN proofs USING (tree, pos), root
+"""

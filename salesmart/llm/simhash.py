@@ -137,7 +137,7 @@ def links(prints: DataFrame, max_bits: int = 4) -> DataFrame:
     ``prints``: distinct fingerprints, column ``fingerprint``.
     """
     masks = grids(max_bits)
-    python_tasks(prints.sparkSession, 20_000)  # two numbers a row
+    python_tasks(prints.sparkSession)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
