@@ -215,18 +215,20 @@ def manifest(docs: DataFrame, levels: int = LEVELS) -> DataFrame:
         leaf(text).alias("hash"),
         F.when(changed, leaf(lower_ascii(text))).alias("other"),
     )
+    # Sorting by range reads its input twice.
+    leaves = materialise(leaves, "merkle-hashes")
     placed = numbered(leaves, ["tree"], ["doc_id", "hash"], "merkle-leaves")
     low = rounds(placed.select("tree", "idx", "n", F.struct("hash", "doc_id", "other").alias("node")), levels, "merkle")
     tops = low[-1].select(F.col("tree").alias("lang"), F.lit("").alias("tree"), "root")
     ranked = numbered(tops, ["tree"], ["lang"], "merkle-languages")
     high = rounds(ranked.select("tree", "idx", "n", F.struct(F.col("root").alias("hash"), "lang").alias("node")), levels, "merkle-top")
-    root = high[-1].select(F.col("root").alias("all_root"))  # one row, none for an empty table
+    top = high[-1].first()  # one block, none for an empty table
 
     start = high[-1].select("tree", "block", *[F.array().cast("array<string>").alias(c) for c in ("lefts", "rights")])
     ends = down(high, start, levels)
     languages = hand_down(high[0], ends, levels).withColumnRenamed("block", "idx").drop("tree")
     subroots = ranked.select(F.col("lang").alias("tree"), F.col("root").alias("subroot"), "idx").join(languages, "idx")
-    subroots = materialise(subroots.join(F.broadcast(root)), "merkle-subroots")
+    subroots = materialise(subroots.withColumn("all_root", F.lit(top and top["root"]).cast("string")), "merkle-subroots")
 
     paths = down(low, subroots.select("tree", F.lit(0).cast("long").alias("block"), "lefts", "rights"), levels)
     held = with_paths(low[0], paths)

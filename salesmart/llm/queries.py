@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from salesmart.llm import (
+    conversation_trie,
     decontaminate,
     language_id,
     line_dedup,
@@ -128,6 +129,11 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.trie(table(spark, sf_dir, "conversations"))
+
+
 _STRIPPED = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -304,3 +310,34 @@ siblings AS (
 SELECT doc_id, leaf, subroot, root, sha256(coalesce(proof, '')) AS proof_sha256, folded_root, folded_root = root AS verified
 FROM leaves JOIN subroots USING (tree) JOIN ends USING (tree, pos) LEFT JOIN proofs USING (tree, pos), root
 """
+
+SQL["op13_conversation_trie"] = f"""
+WITH turns AS (
+  SELECT conv_id, list({{'k': sha256(coalesce(role, '') || chr(0) || coalesce(text, '')), 'n': length(coalesce(text, ''))}}
+                       ORDER BY turn NULLS FIRST, role, text) AS own
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), heads AS (SELECT conv_id, own, {_CRC32.format('conv_id')} % 6 AS h FROM turns),
+whole AS (
+  SELECT c.conv_id, list_concat(coalesce(f.own[:h], []), c.own[h + 1 :]) AS seq
+  FROM heads c LEFT JOIN turns f ON f.conv_id = c.conv_id - c.conv_id % 100
+), prefixes AS (
+  SELECT conv_id, depth, len(seq) = depth AS ends, CASE WHEN depth > 0 THEN seq[depth].n ELSE 0 END AS n,
+         array_to_string(list_transform(seq[:depth], lambda t: t.k), '') AS key
+  FROM (SELECT conv_id, seq, unnest(generate_series(0, len(seq))) AS depth FROM whole)
+), nodes AS (
+  SELECT key, depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(n) AS own,
+         coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '') AS ends
+  FROM prefixes GROUP BY key, depth
+), families AS (
+  SELECT c.*, p.conv_id AS parent_conv_id, count(k.key) AS n_children
+  FROM nodes c LEFT JOIN nodes p ON c.depth = p.depth + 1 AND left(c.key, 64 * p.depth) = p.key
+       LEFT JOIN nodes k ON k.depth = c.depth + 1 AND left(k.key, 64 * c.depth) = c.key
+  GROUP BY ALL
+), sums AS (
+  SELECT left(key, 64 * up) AS key, up AS depth, count(*) FILTER (n_children = 0) AS n_leaves, sum(own)::BIGINT AS saved_tokens
+  FROM (SELECT *, unnest(generate_series(0, depth)) AS up FROM families) GROUP BY 1, 2
+)
+SELECT conv_id, depth::BIGINT AS depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens,
+       sha256(ends) AS ends_sha256
+FROM families JOIN sums USING (key, depth)
+"""
