@@ -12,6 +12,7 @@ from salesmart.llm import (
     line_dedup,
     merkle,
     packing,
+    quality_classifier,
     quality_rules,
     secret_scan,
     simhash,
@@ -121,6 +122,12 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@register
+def op11_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_classifier.score(docs, quality_classifier.learn(docs, table(spark, sf_dir, "labels")))
+
+
 @register
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = merkle.manifest(table(spark, sf_dir, "documents"))
