@@ -7,6 +7,7 @@ import zipfile
 from collections.abc import Callable
 from pathlib import Path
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -68,3 +69,20 @@ def python_tasks(spark: SparkSession) -> None:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def committed(spark: SparkSession, root: str) -> tuple[int, str | None]:
+    """How many commits the store below ``root`` has, and what the last one says."""
+    try:
+        log = spark.read.schema("state string, commit long").parquet(f"{root}/commits")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return 0, None
+    last = log.orderBy(F.desc("commit")).first()
+    return (last.commit + 1, last.state) if last else (0, None)
+
+
+def commit(spark: SparkSession, root: str, n: int, state: str = "") -> None:
+    """Make commit ``n`` known; fails if another writer has made one of that number."""
+    spark.createDataFrame([(state,)], "state string").coalesce(1).write.mode("error").parquet(f"{root}/commits/commit={n}")
