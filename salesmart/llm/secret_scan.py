@@ -5,7 +5,8 @@ has scanned which blob, so a text that was seen before, under any path, is scann
 that are new or changed. Findings are kept per blob and joined back to all paths.
 
 Below ``root`` in shared storage: ``paths`` (path to blob), ``scanned`` (blob, rule, version) and
-``findings`` (blob, rule, version, start, end, in code points, end exclusive).
+``findings`` (blob, rule, version, start, end, in code points, end exclusive), each by commit, and
+``commits``, which names the complete ones.
 """
 
 from __future__ import annotations
@@ -13,7 +14,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+
+from salesmart.llm.common import commit, committed
 
 
 @dataclass(frozen=True)
@@ -47,43 +50,39 @@ RULES = (
     Rule("web_token", 1, r"eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
 )
 
-SPANS = "array<struct<start:bigint,end:bigint>>"
+PIECES = "array<struct<steps:bigint,hit:bigint,ok:boolean>>"
 
 
-def spans(text: Column, rule: Rule) -> Column:
-    """The spans of a rule's matches in ``text``, by one projection.
+def pieces(text: Column, rule: Rule) -> Column:
+    """The lengths of a rule's matches in ``text``, each with the step from the end of the one before.
 
-    The pieces between matches and the matches themselves alternate, so the ends of all matches
-    are running sums of lengths.
+    The parts between matches and the matches themselves alternate, so a match ends at the sum of
+    all steps up to its own.
     """
     pattern = F.lit(rule.pattern)
-
-    def walk(pairs: Column) -> Column:
-        start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(SPANS).alias("found"))
-
-        def step(state: Column, pair: Column) -> Column:
-            begin = state["at"] + F.length(pair["gap"])
-            end = begin + F.length(pair["hit"])
-            span = F.struct(begin.cast("long").alias("start"), end.cast("long").alias("end"))
-            ok = F.length(pair["secret"]) >= rule.min_chars
-            return F.struct(
-                end.cast("long").alias("at"),
-                F.when(ok, F.concat(state["found"], F.array(span))).otherwise(state["found"]).alias("found"),
-            )
-
-        return F.aggregate(pairs, start, step, lambda state: state["found"])
-
     hits = F.regexp_extract_all(text, pattern, 0)
-    pairs = F.arrays_zip(
+    zipped = F.arrays_zip(
         F.slice(F.split(text, rule.pattern, -1), 1, F.size(hits)).alias("gap"),
         hits.alias("hit"),
         F.regexp_extract_all(text, pattern, rule.group).alias("secret"),
     )
-    return F.when(F.regexp_like(text, pattern), walk(pairs)).otherwise(F.array().cast(SPANS))
+    lengths = F.transform(
+        zipped,
+        lambda p: F.struct(
+            (F.length(p["gap"]) + F.length(p["hit"])).cast("long").alias("steps"),
+            F.length(p["hit"]).cast("long").alias("hit"),
+            (F.length(p["secret"]) >= rule.min_chars).alias("ok"),
+        ),
+    )
+    return F.when(F.regexp_like(text, pattern), lengths).otherwise(F.array().cast(PIECES))
 
 
 class BlobLedger:
-    """The ledger's tables below ``root``; a new folder is an empty ledger."""
+    """The ledger's tables below ``root``; a new folder is an empty ledger.
+
+    A ledger that is opened again goes on after the last complete commit; what a broken one left is
+    written over. One writer at a time: a second one of the same commit is refused.
+    """
 
     PATHS = "path long, blob binary"
     SCANNED = "blob binary, kind string, version int"
@@ -91,7 +90,7 @@ class BlobLedger:
 
     def __init__(self, spark: SparkSession, root: str, rules: Sequence[Rule] = RULES):
         self.spark, self.root, self.rules = spark, root.rstrip("/"), tuple(rules)
-        self.commits = 0
+        self.commits, _ = committed(spark, self.root)
 
     def _read(self, name: str, schema: str, before: int) -> DataFrame:
         folders = [f"{self.root}/{name}/commit={n}" for n in range(before)]
@@ -103,7 +102,7 @@ class BlobLedger:
         """Take in a commit of ``versions`` (path, text): scan what no earlier commit scanned."""
         n = self.commits
         blobs = versions.select("path", "text", F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)).alias("blob"))
-        blobs.select("path", "blob").write.parquet(f"{self.root}/paths/commit={n}")
+        blobs.select("path", "blob").write.mode("overwrite").parquet(f"{self.root}/paths/commit={n}")
         paths = self.spark.read.schema(self.PATHS).parquet(f"{self.root}/paths/commit={n}")
 
         # One path of every blob holds its text for the scan.
@@ -113,7 +112,7 @@ class BlobLedger:
         )
         pairs = holders.select("blob", "path", F.explode(wanted).alias("r")).select("blob", "path", "r.*")
         unseen = pairs.join(self._read("scanned", self.SCANNED, n), ["blob", "kind", "version"], "left_anti")
-        unseen.write.parquet(f"{self.root}/scanned/commit={n}")
+        unseen.write.mode("overwrite").parquet(f"{self.root}/scanned/commit={n}")
         todo = (
             self.spark.read.schema(f"{self.SCANNED}, path long")
             .parquet(f"{self.root}/scanned/commit={n}")
@@ -129,8 +128,8 @@ class BlobLedger:
                         F.array_contains(
                             F.col("todo"), F.struct(F.lit(r.kind).alias("kind"), F.lit(r.version).alias("version"))
                         ),
-                        spans(F.col("text"), r),
-                    ).otherwise(F.array().cast(SPANS)).alias("spans"),
+                        pieces(F.col("text"), r),
+                    ).otherwise(F.array().cast(PIECES)).alias("pieces"),
                 )
                 for r in self.rules
             ]
@@ -138,15 +137,24 @@ class BlobLedger:
         texts = versions.select(F.col("path").alias("_path"), F.coalesce("text", F.lit("")).alias("text")).withColumn(
             "_blob", F.unhex(F.sha2("text", 256))
         )
+        # One row per match; only lengths leave the task that reads the text.
+        hits = (
+            texts.join(todo, F.col("_path").eqNullSafe(F.col("path")) & (F.col("_blob") == F.col("blob")))
+            .select(F.monotonically_increasing_id().alias("_row"), "blob", F.explode(found).alias("f"))
+            .select("_row", "blob", "f.kind", "f.version", F.posexplode("f.pieces").alias("_at", "p"))
+        )
+        up_to = Window.partitionBy("_row", "kind").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
+        end = F.sum("p.steps").over(up_to)
         # Rows that repeat a path and its text would repeat the findings: distinct after the scan.
         (
-            texts.join(todo, F.col("_path").eqNullSafe(F.col("path")) & (F.col("_blob") == F.col("blob")))
-            .select("blob", F.explode(found).alias("f"))
-            .select("blob", "f.kind", "f.version", F.explode("f.spans").alias("s"))
-            .select("blob", "kind", "version", "s.start", "s.end")
+            hits.select("blob", "kind", "version", (end - F.col("p.hit")).alias("start"), end.alias("end"), F.col("p.ok").alias("_ok"))
+            .filter("_ok")
+            .drop("_ok")
             .distinct()
-            .write.parquet(f"{self.root}/findings/commit={n}")
+            .write.mode("overwrite")
+            .parquet(f"{self.root}/findings/commit={n}")
         )
+        commit(self.spark, self.root, n)
         self.commits += 1
 
     def findings(self) -> DataFrame:
@@ -175,7 +183,8 @@ def scan_documents(docs: DataFrame, root: str, commits: int = 2, rules: Sequence
 
     The documents arrive as ``commits`` commits, dealt by a hash of the doc_id. Null texts are empty texts.
     A null doc_id is a path like any other. Repeated rows are repeated in the result, with the
-    same findings. An empty table gives an empty result. Other columns are not read.
+    same findings. The places of a text's matches are running sums, so a very long text with very
+    many secrets costs in proportion. An empty table gives an empty result. Other columns are not read.
     """
     ledger = BlobLedger(docs.sparkSession, root, rules)
     versions = docs.select(F.col("doc_id").cast("long").alias("path"), F.col("text").cast("string").alias("text"))
