@@ -45,6 +45,7 @@ RULES = (
 ORDER = 5
 ALPHABET = 256
 HOLD_OUT = 5
+BINS = 20_000
 
 
 def with_parts(pages: DataFrame, rules: Sequence[UrlRule] = RULES) -> DataFrame:
@@ -152,15 +153,22 @@ def window_scores(wanted: DataFrame, grams: DataFrame, contexts: DataFrame) -> D
 def calibrated(scores: DataFrame) -> float:
     """The threshold on ``score`` that separates ``ruled`` allow from block best.
 
-    From a histogram of scores in thousandths: its size does not follow the number of rows.
+    From a histogram over the scores' own range, in ``BINS`` steps: its size does not follow the
+    number of rows. The threshold lies between the greatest score of a step and the least of the next.
     """
+    span = scores.agg(F.min("score").alias("low"), F.max("score").alias("high")).first()
+    if span.low is None:
+        return 0.0
+    step = (span.high - span.low) / BINS or 1.0
     bins = (
-        scores.groupBy(F.round(F.greatest(F.least("score", F.lit(10.0)), F.lit(-10.0)), 3).alias("score"))
+        scores.groupBy(F.floor((F.col("score") - span.low) / step).alias("bin"))
         .agg(
             F.count(F.when(F.col("ruled") == "allow", 1)).alias("good"),
             F.count(F.when(F.col("ruled") == "block", 1)).alias("bad"),
+            F.min("score").alias("least"),
+            F.max("score").alias("most"),
         )
-        .orderBy("score")
+        .orderBy("bin")
         .collect()
     )
     good, bad = sum(b.good for b in bins), sum(b.bad for b in bins)
@@ -170,8 +178,7 @@ def calibrated(scores: DataFrame) -> float:
     for at, b in enumerate(bins):
         right = passed_good / good + (bad - passed_bad) / bad
         if right > best:
-            before = bins[at - 1].score if at else b.score
-            best, threshold = right, (before + b.score) / 2
+            best, threshold = right, (bins[at - 1].most + b.least) / 2 if at else b.least
         passed_good, passed_bad = passed_good - b.good, passed_bad - b.bad
     return threshold
 
