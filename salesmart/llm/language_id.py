@@ -218,7 +218,9 @@ def sample(docs: DataFrame, sample_docs: int, sample_bytes: int) -> list[tuple[b
     chosen = labelled.filter(draw < share[F.col("lang")])
     # The middle of a text says as much as its beginning, and boilerplate stands at the ends.
     piece = F.substring(F.col("text"), F.greatest(F.lit(1), F.length("text") / 2 - sample_bytes / 4).cast("int"), F.lit(sample_bytes // 2))
-    rows = chosen.select(piece.alias("text"), "lang").limit(2 * sample_docs * len(counts)).collect()
+    # The draw leaves about sample_docs a language; the limit bounds it where many rows are equal.
+    rows = chosen.select(piece.alias("text"), "lang", draw.alias("draw")).orderBy("draw", "lang", "text")
+    rows = rows.limit(2 * sample_docs * len(counts)).collect()
     return [(r.text.encode(), r.lang) for r in rows]
 
 
