@@ -5,19 +5,24 @@ word it knows the longest run of item words that ends there. A run of ``window``
 item that is shorter, hits its words. Spans of hit words are cut out of the text, and documents
 with too large a part hit are rejected.
 
-The benchmark is dealt into blocks of at most ``block_words`` words (or one item); a block's
-automaton is what a worker holds. Further blocks are further passes over the rows in the same
-stage: there is no shuffle, whatever the size of the benchmark.
+The benchmark is dealt into blocks of about ``block_words`` words (or one item). Every task gets
+all blocks compressed, and goes through them for each of its chunks of documents; the automata of
+``HELD`` blocks stay with a worker, further ones are built again for the next chunk. There is no
+shuffle and one step in Python, whatever the number of blocks, up to ``TOGETHER`` compressed bytes;
+a larger benchmark takes another step for each further ``TOGETHER``.
 """
 
 from __future__ import annotations
 
+import pickle
 import re
-from collections import defaultdict
+import uuid
+from collections import OrderedDict, defaultdict
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from salesmart.llm.common import python_tasks, whole_row
@@ -29,6 +34,11 @@ TO_WORDS = bytes(
 )
 
 
+HELD = 3
+CHUNK = 32 << 20
+TOGETHER = 256 << 20
+
+
 def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode().translate(TO_WORDS).split()
 
@@ -151,14 +161,55 @@ def _search(automaton: Automaton, texts: list[str | None]) -> tuple[list[int], l
     return [len(ws) for ws in words], spans, names
 
 
-def blocks_of(benchmark: DataFrame, block_words: int) -> Iterator[list[tuple[str | None, list[bytes]]]]:
-    """The items in blocks; one block is on the driver at a time."""
-    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
-    size = items.agg(F.sum(F.size(F.split("text", r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", -1)))).first()[0] or 0
+def blocks_of(benchmark: DataFrame, block_words: int) -> Iterator[bytes]:
+    """The distinct items in compressed blocks; one block is on the driver at a time."""
+    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text")).distinct()
+    words = F.size(F.split("text", r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", -1))
+    size = items.agg(F.sum(words)).first()[0] or 0
     count = max(1, -(-2 * size // block_words) if size > block_words else 1)
-    for n in range(count):
-        part = items if count == 1 else items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == n)
-        yield [(r.item_id, words_of(r.text)) for r in part.toLocalIterator()]
+    grouped = items.groupBy(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)).alias("block")).agg(
+        F.collect_list(F.struct("item_id", "text")).alias("items")
+    )
+    python_tasks(benchmark.sparkSession)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        small = zstandard.ZstdCompressor().compress
+        for batch in batches:
+            blocks = [
+                small(pickle.dumps([(x["item_id"], b" ".join(words_of(x["text"]))) for x in items])) for items in batch.column(1).to_pylist()
+            ]
+            yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.binary())], names=["data"])
+
+    for r in grouped.mapInArrow(pack, "data binary").toLocalIterator():
+        yield bytes(r.data)
+
+
+# The automata a worker has built last, by the file its block came in.
+_BUILT: OrderedDict[tuple, Automaton] = OrderedDict()
+
+
+def automaton_of(run: str, n: int, data: bytes, window: int) -> Automaton:
+    key = run, n
+    if key not in _BUILT:
+        items = pickle.loads(zstandard.ZstdDecompressor().decompress(data))
+        while len(_BUILT) >= HELD:
+            _BUILT.popitem(last=False)
+        _BUILT[key] = Automaton([(name, words.split()) for name, words in items], window)
+    _BUILT.move_to_end(key)
+    return _BUILT[key]
+
+
+def chunks_of(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[list[pa.RecordBatch]]:
+    chunk: list[pa.RecordBatch] = []
+    used = 0
+    for batch in batches:
+        chunk.append(batch)
+        used += batch.nbytes
+        if used >= size:
+            yield chunk
+            chunk, used = [], 0
+    if chunk:
+        yield chunk
 
 
 def find_leaks(
@@ -167,11 +218,11 @@ def find_leaks(
     """``doc_id, text, n_words, spans, items`` for every row of ``docs`` (doc_id, text).
 
     ``spans``: stretches of hit words, counted from 0, end exclusive. ``items``: ids of the items
-    (as text, sorted) of which a window occurs. Null and empty texts have no words. Items without
-    words hit nothing; those without an id hit but are not named. Rows are judged one by one, so
-    repeated rows and null ids give a row each. An empty table gives an empty result, an empty
-    benchmark no hits. Other columns are not read; with ``whole`` they follow as the struct
-    ``row``.
+    (as text, sorted) of which a window occurs. Null and empty texts have no words; of a very long
+    text every word is streamed. Items without words hit nothing; those without an id hit but are
+    not named; repeated items are one. Rows are judged one by one, so repeated rows and null ids give
+    a row each. An empty table gives an empty result, an empty benchmark no hits. Other columns are
+    not read; with ``whole`` they follow as the struct ``row``.
     """
     spark = docs.sparkSession
     python_tasks(spark)
@@ -184,32 +235,49 @@ def find_leaks(
         *whole_row(docs, whole),
     )
     span_type = pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())]))
-    for items in blocks_of(benchmark, block_words):
-        shared = spark.sparkContext.broadcast(items)
-
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            automaton = Automaton(shared.value, window)
-            for batch in batches:
-                n_words, spans, names = _search(automaton, batch.column(1).to_pylist())
-                before, known = batch.column(3).to_pylist(), batch.column(4).to_pylist()
-                spans = [
-                    _merged(s + [(x["from"], x["to"]) for x in b]) if s else b for s, b in zip(spans, before)
-                ]
-                found = [sorted(n.union(k) - {None}) if n else k for n, k in zip(names, known)]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0),
-                        batch.column(1),
-                        pa.array(n_words, pa.int64()),
-                        pa.array(spans, span_type),
-                        pa.array(found, pa.list_(pa.string())),
-                        *batch.columns[5:],
-                    ],
-                    names=batch.schema.names,
-                )
-
-        out = out.mapInArrow(run, out.schema)
-    return out
+
+    def step(run: str, blocks: list):
+        # With few blocks all automata stay built, and nothing is gained by larger chunks.
+        size = CHUNK if len(blocks) > HELD else 1
+
+        def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for chunk in chunks_of(batches, size):
+                texts = [b.column(1).to_pylist() for b in chunk]
+                spans = [b.column(3).to_pylist() for b in chunk]
+                names = [b.column(4).to_pylist() for b in chunk]
+                n_words: list = [None] * len(chunk)
+                for n, block in enumerate(blocks):
+                    automaton = automaton_of(run, n, block.value, window)
+                    for i, some in enumerate(texts):
+                        n_words[i], hits, hit_by = _search(automaton, some)
+                        for row in (r for r, h in enumerate(hits) if h):
+                            spans[i][row] = _merged(hits[row] + [(x["from"], x["to"]) for x in spans[i][row]])
+                            names[i][row] = sorted(hit_by[row].union(names[i][row]) - {None})
+                for i, batch in enumerate(chunk):
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            batch.column(0),
+                            batch.column(1),
+                            pa.array(n_words[i], pa.int64()),
+                            pa.array(spans[i], span_type),
+                            pa.array(names[i], pa.list_(pa.string())),
+                            *batch.columns[5:],
+                        ],
+                        names=batch.schema.names,
+                    )
+
+        return find
+
+    together, used = [], 0
+    for data in blocks_of(benchmark, block_words):
+        if together and used + len(data) > TOGETHER:
+            out = out.mapInArrow(step(uuid.uuid4().hex, together), out.schema)
+            together, used = [], 0
+        together.append(spark.sparkContext.broadcast(data))
+        used += len(data)
+    # An empty benchmark has no block; its step only counts words.
+    together = together or [spark.sparkContext.broadcast(zstandard.ZstdCompressor().compress(pickle.dumps([])))]
+    return out.mapInArrow(step(uuid.uuid4().hex, together), out.schema)
 
 
 def hit_words(spans: str = "spans"):
