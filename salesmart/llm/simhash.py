@@ -11,13 +11,17 @@ is tested first, then the Hamming distance.
 
 Fingerprints are joined, not documents: copies are one fingerprint. Cells are sorted runs of rows
 that stream through a task; one with many members gives a spanning forest, found by searching from
-member to member among those not yet reached, and not its pairs. Links become components by
-alternating large-star and small-star steps, each written to shared storage.
+member to member among those not yet reached, and not its pairs. A cell with over ``CELL`` members is
+not searched but passed on, and its members are dealt again by their bits: fingerprints within 4 bits
+agree in 4 of 8 bytes, so they share one of 70 finer cells. Should one of these still be too large,
+its members are dealt into parts of about ``CELL``, and every two parts meet in a task of their
+own. So no task holds more than a part or two, and the search of a cell is bounded. Links become
+components by alternating large-star and small-star steps, each written to shared storage.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -30,6 +34,7 @@ from salesmart.session import materialise
 SEED = 42
 GROUPS = 8
 PAIRWISE = 16
+CELL = 4096
 PAIRS = np.uint64(0x5555555555555555)
 
 
@@ -131,55 +136,108 @@ def cell_links(keys: np.ndarray, prints: np.ndarray, max_bits: int) -> tuple[np.
     return np.concatenate(empty + left), np.concatenate(empty + right)
 
 
-def links(prints: DataFrame, max_bits: int = 4) -> DataFrame:
-    """``a, b`` with a < b: links that connect the same fingerprints as all links together.
+def _mixed(key: np.ndarray) -> np.ndarray:
+    key = key * np.uint64(0x9E3779B97F4A7C15)
+    return key ^ key >> np.uint64(32)
 
-    ``prints``: distinct fingerprints, column ``fingerprint``.
+
+def _dealt(rows: DataFrame, max_bits: int, vector: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
+    """``cell, fingerprint``: each fingerprint once for every choice of groups of its ``vector``.
+
+    The cell that rows come in, if any, is part of the new one.
     """
     masks = grids(max_bits)
-    python_tasks(prints.sparkSession)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = batch.column(0).to_numpy().view(np.uint64)
-            vector = popcounts(x)
+            inside = batch.column(1).to_numpy().view(np.uint64)
+            of = vector(x)
             for n, mask in enumerate(masks):
-                key = ((vector & mask) ^ np.uint64(n * 0x0101010101010101)) * np.uint64(0x9E3779B97F4A7C15)
-                key ^= key >> np.uint64(32)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(key.view(np.int64)), batch.column(0)], names=["cell", "fingerprint"]
-                )
+                key = _mixed((of & mask) ^ np.uint64(n * 0x0101010101010101))
+                key = np.where(inside != 0, _mixed(key ^ inside), key)
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), batch.column(0)], names=["cell", "fingerprint"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, prints_ = np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    return rows.mapInArrow(deal, "cell long, fingerprint long")
+
+
+def _searched(cells: DataFrame, keys: list[str], max_bits: int, cell: int | None, name: str) -> tuple[DataFrame, DataFrame]:
+    """The links within each cell, and the members of cells with over ``cell`` of them, written."""
+    schema = "a long, b long, large boolean"
+
+    def batch_of(a: np.ndarray, b: np.ndarray, large: bool) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(np.full(len(a), large))], names=["a", "b", "large"])
 
-        def out(keys, prints_):
-            a, b = cell_links(keys, prints_, max_bits)
-            a, b = a.view(np.int64), b.view(np.int64)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"]
-            )
+    def linked(keys_: np.ndarray, prints_: np.ndarray) -> pa.RecordBatch:
+        a, b = cell_links(keys_, prints_, max_bits)
+        a, b = a.view(np.int64), b.view(np.int64)
+        return batch_of(np.minimum(a, b), np.maximum(a, b), False)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys_, prints_ = np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        passed = None  # the cell that is being passed on
         for batch in batches:
             if not len(batch):
                 continue
-            keys = np.concatenate([keys, batch.column(0).to_numpy()])
+            keys_ = np.concatenate([keys_, batch.column(0).to_numpy()])
             prints_ = np.concatenate([prints_, batch.column(1).to_numpy().view(np.uint64)])
-            whole = int(np.searchsorted(keys[::-1] != keys[-1], True))  # rows of the last cell so far
-            if whole < len(keys) and len(keys) > 100_000:
-                cut = len(keys) - whole
-                yield out(keys[:cut], prints_[:cut])
-                keys, prints_ = keys[cut:], prints_[cut:]
-        if len(keys):
-            yield out(keys, prints_)
-
-    cells = prints.select("fingerprint").mapInArrow(deal, "cell long, fingerprint long")
-    return (
-        cells.repartition("cell")
-        .sortWithinPartitions("cell")
-        .mapInArrow(run, "a long, b long")
-        .distinct()
-    )
+            if passed is not None:
+                n = int(np.searchsorted(keys_ != passed, True))
+                if n:
+                    yield batch_of(keys_[:n], prints_[:n].view(np.int64), True)
+                    keys_, prints_ = keys_[n:], prints_[n:]
+                if len(keys_):
+                    passed = None
+            if not len(keys_):
+                continue
+            if cell is not None:
+                starts = np.flatnonzero(np.concatenate([[True], keys_[1:] != keys_[:-1]]))
+                sizes = np.diff(np.append(starts, len(keys_)))
+                large = np.repeat(sizes > cell, sizes)
+                if large.any():
+                    yield batch_of(keys_[large], prints_[large].view(np.int64), True)
+                    passed = int(keys_[-1]) if large[-1] else None
+                    keys_, prints_ = keys_[~large], prints_[~large]
+                    if not len(keys_):
+                        continue
+            # The last cell may go on in the next batch.
+            rest = 0 if passed is not None else int(np.searchsorted(keys_[::-1] != keys_[-1], True))
+            if len(keys_) - rest > 100_000:
+                cut = len(keys_) - rest
+                yield linked(keys_[:cut], prints_[:cut])
+                keys_, prints_ = keys_[cut:], prints_[cut:]
+        if len(keys_):
+            yield linked(keys_, prints_)
+
+    sorted_ = cells.repartition(*keys).sortWithinPartitions(*keys)
+    one = sorted_.select((F.col(keys[0]) if len(keys) == 1 else F.xxhash64(*keys)).alias("cell"), "fingerprint")
+    found = materialise(one.mapInArrow(run, schema), name)
+    large = found.filter("large").select(F.col("b").alias("fingerprint"), F.col("a").alias("cell"))
+    return found.filter("NOT large").select("a", "b"), large
+
+
+def links(prints: DataFrame, max_bits: int = 4, cell: int = CELL) -> DataFrame:
+    """``a, b`` with a < b: links that connect the same fingerprints as all links together.
+
+    ``prints``: distinct fingerprints, column ``fingerprint``.
+    """
+    python_tasks(prints.sparkSession)
+    rows = prints.select("fingerprint", F.lit(0).cast("long").alias("cell"))
+    first, large = _searched(_dealt(rows, max_bits, popcounts), ["cell"], max_bits, cell, "links-grid")
+    if large.isEmpty():
+        return first.distinct()
+    fine = _dealt(large, max_bits, lambda x: x)
+    second, larger = _searched(fine, ["cell"], max_bits, cell, "links-bits")
+    found = first.unionByName(second)
+    if not larger.isEmpty():
+        sizes = larger.groupBy("cell").agg(F.count("*").alias("n"))
+        parts = F.expr(f"CAST((n - 1) div {cell} + 1 AS INT)")
+        dealt = larger.join(sizes, "cell").withColumn("part", F.pmod(F.xxhash64("fingerprint"), parts).cast("int"))
+        dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
+        pairs = dealt.select("cell", F.least("part", "other").alias("lower"), F.greatest("part", "other").alias("upper"), "fingerprint")
+        third, _ = _searched(pairs, ["cell", "lower", "upper"], max_bits, None, "links-parts")
+        found = found.unionByName(third)
+    return found.distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
