@@ -16,7 +16,8 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import from_arrow_type
 
-from salesmart.llm.common import LEAST_ID, python_tasks, texts
+from salesmart.llm.common import python_tasks, texts
+from salesmart.session import materialise
 
 BUCKET_BYTES = 16 << 20
 CELLS_PER_BUCKET = 16
@@ -24,7 +25,7 @@ PASSES = 3
 PLACE_BITS = 26
 BASE = 0x9E3779B97F4A7C15 | 1
 ROWS = "bucket int, kind int, data binary"
-SPANS = "_id long, from long, to long"
+SPANS = "_id long, _key long, from long, to long"
 WIDTHS = ("<i1", "<i2", "<i4", "<i8")
 
 
@@ -168,14 +169,32 @@ def unpacked(data: bytes) -> tuple[list[np.ndarray], bytes]:
     return columns, raw[at:]
 
 
-def merged(ids: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The spans of each id with those that overlap or touch made one."""
-    if not len(ids):
-        return ids, begin, end
-    order = np.lexsort((begin, ids))
-    ids, begin, end = ids[order], begin[order], end[order]
+class Docs(NamedTuple):
+    """Documents by number: doc_id and key of each. Numbers are in the order of (doc_id, key)."""
+
+    ids: np.ndarray
+    keys: np.ndarray
+
+    @classmethod
+    def of(cls, ids: np.ndarray, keys: np.ndarray) -> tuple[Docs, np.ndarray]:
+        """The distinct documents of a list, and the number of each entry."""
+        order = np.lexsort((keys, ids))
+        ids_, keys_ = ids[order], keys[order]
+        new = np.ones(len(order), bool)
+        new[1:] = (ids_[1:] != ids_[:-1]) | (keys_[1:] != keys_[:-1])
+        number = np.empty(len(order), np.int64)
+        number[order] = np.cumsum(new) - 1
+        return cls(ids_[new], keys_[new]), number
+
+
+def merged(docs: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The spans of each document with those that overlap or touch made one."""
+    if not len(docs):
+        return docs, begin, end
+    order = np.lexsort((begin, docs))
+    docs, begin, end = docs[order], begin[order], end[order]
     out: list[list[int]] = []
-    for i, a, b in zip(ids.tolist(), begin.tolist(), end.tolist()):
+    for i, a, b in zip(docs.tolist(), begin.tolist(), end.tolist()):
         if out and out[-1][0] == i and a <= out[-1][2]:
             if b > out[-1][2]:
                 out[-1][2] = b
@@ -193,40 +212,65 @@ def rows_of(batch_rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
     )
 
 
-def spans_batch(ids: np.ndarray, begin: np.ndarray, end: np.ndarray) -> pa.Table:
-    return pa.table({"_id": pa.array(ids, pa.int64()), "from": pa.array(begin, pa.int64()), "to": pa.array(end, pa.int64())})
+def spans_batch(docs: Docs, number: np.ndarray, begin: np.ndarray, end: np.ndarray) -> pa.Table:
+    columns = {"_id": docs.ids[number], "_key": docs.keys[number], "from": begin, "to": end}
+    return pa.table({name: pa.array(c, pa.int64()) for name, c in columns.items()})
 
 
-Piece = tuple[int, int, bytes]  # id, place of its first symbol in the document, bytes
+Piece = tuple[int, int, int, bytes]  # id, key, place of its first symbol in the document, bytes
 Chunk = list[Piece]
 
 
-def chunks(batches: Iterator[pa.RecordBatch], size: int, cut: Callable[[int, bytes], Iterator[Piece]]) -> Iterator[Chunk]:
-    """The rows' pieces, by id, in chunks of about ``size`` bytes; long texts are cut by ``cut``."""
+def chunks(batches: Iterator[pa.RecordBatch], size: int, cut: Callable[[bytes], Iterator[tuple[int, bytes]]]) -> Iterator[Chunk]:
+    """The rows' pieces, by document, in chunks of about ``size`` bytes; long texts are cut by ``cut``."""
     have: Chunk = []
     used = 0
     for batch in batches:
-        for id_, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
-            for piece in cut(id_, text) if len(text) > size else [(id_, 0, text)]:
-                have.append(piece)
-                used += len(piece[2]) + 1
+        rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.binary()).to_pylist())
+        for id_, key, text in rows:
+            for at, piece in cut(text) if len(text) > size else [(0, text)]:
+                have.append((id_, key, at, piece))
+                used += len(piece) + 1
                 if used >= size:
-                    yield sorted(have, key=lambda p: p[:2])
+                    yield sorted(have, key=lambda p: p[:3])
                     have, used = [], 0
     if have:
-        yield sorted(have, key=lambda p: p[:2])
+        yield sorted(have, key=lambda p: p[:3])
+
+
+def documents_of(chunk: Chunk) -> tuple[Docs, np.ndarray]:
+    """The documents of a chunk, and the number of each piece's."""
+    return Docs.of(np.array([p[0] for p in chunk], np.int64), np.array([p[1] for p in chunk], np.int64))
+
+
+def identified(docs: DataFrame) -> DataFrame:
+    """``doc_id, _id, _key, text``; rows with equal ``_id`` and ``_key`` are one document.
+
+    The key is 0, or the hash of the text for rows without an id and for ids that different texts
+    share. Texts are moved for that only if there are such ids and too many for a broadcast.
+    """
+    rows = texts(docs).withColumn("text", F.coalesce("text", F.lit("")))
+    hashed = rows.filter("doc_id IS NOT NULL").select("_id", F.xxhash64("text").alias("_h"))
+    shared = hashed.groupBy("_id").agg(F.min("_h").alias("_low"), F.max("_h").alias("_high")).filter("_low <> _high")
+    shared = materialise(shared.select("_id"), "shared-ids")
+    nameless = F.col("doc_id").isNull()
+    if not shared.isEmpty():
+        rows = rows.join(shared.withColumn("_shared", F.lit(True)), "_id", "left")
+        nameless |= F.coalesce("_shared", F.lit(False))
+    key = F.when(nameless, F.xxhash64("text")).otherwise(F.lit(0).cast("long"))
+    return rows.select("doc_id", "_id", key.alias("_key"), "text")
 
 
 def repeated_spans(
-    docs: DataFrame,
+    rows: DataFrame,
     size: int,
-    cut: Callable[[int, bytes], Iterator[Piece]],
+    cut: Callable[[bytes], Iterator[tuple[int, bytes]]],
     prepare: Callable,
     send: Callable,
     meet: Callable[[pa.Table], pa.Table],
     passes: int = PASSES,
 ) -> DataFrame:
-    """``_id, spans`` (array of from, to) of the repeated windows of each document.
+    """``_id, _key, spans`` (set of from, to) of the repeated windows of each document of ``rows``.
 
     ``prepare(chunk, cells)`` finds the chunk's stretches and returns them with the hashes of
     their minimisers; ``send(prepared, bucket of each stretch, buckets)`` makes the rows for the
@@ -243,9 +287,9 @@ def repeated_spans(
     windows are dealt one by one, by their own hash. A pass finds at most 4 hot cells and a
     frequent one to a bucket; these lists are what all tasks get.
     """
-    spark = docs.sparkSession
+    spark = rows.sparkSession
     python_tasks(spark)
-    source = texts(docs).select("_id", F.coalesce("text", F.lit("")).alias("text"))
+    source = rows.select("_id", "_key", "text")
     total = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-33 * total // (10 * BUCKET_BYTES)))
     limit = BUCKET_BYTES // 4
@@ -273,18 +317,18 @@ def repeated_spans(
             for at in range(0, len(seen), 10_000):
                 yield pa.RecordBatch.from_arrays([pa.array(c[at : at + 10_000]) for c in columns], names=["cell", "n", "near"])
 
-        rows = (
+        cells_ = (
             source.mapInArrow(count, "cell long, n long, near long")
             .groupBy("cell")
             .agg(F.sum("n").alias("n"), F.sum("near").alias("near"))
             .filter((F.col("n") > limit) | (F.col("near") > limit))
             .collect()
         )
-        usual = 16 * sum(r.near for r in rows) >> cells.bits
-        heavy = [r.cell for r in rows if r.n > limit]
-        frequent = [r.cell for r in rows if r.near > max(limit, usual)]
-        large = [r.cell for r in rows if r.n > BUCKET_BYTES]
-        return sum(max(0, r.n - limit) for r in rows), *(np.array(sorted(c), np.uint64) for c in (heavy, frequent, large))
+        usual = 16 * sum(r.near for r in cells_) >> cells.bits
+        heavy = [r.cell for r in cells_ if r.n > limit]
+        frequent = [r.cell for r in cells_ if r.near > max(limit, usual)]
+        large = [r.cell for r in cells_ if r.n > BUCKET_BYTES]
+        return sum(max(0, r.n - limit) for r in cells_), *(np.array(sorted(c), np.uint64) for c in (heavy, frequent, large))
 
     cells = Cells((CELLS_PER_BUCKET * buckets - 1).bit_length())
     least, best = 0, cells
@@ -304,47 +348,47 @@ def repeated_spans(
             found = prepare(chunk, shared.value)
             del found["grams"], found["owner"]
             bucket = (mixed(found["key"]) % np.uint64(buckets)).astype(np.int64)
-            rows = send(found, bucket, buckets)
-            for at in range(0, len(rows), 256):
-                yield rows_of(rows[at : at + 256])
+            sent = send(found, bucket, buckets)
+            for at in range(0, len(sent), 256):
+                yield rows_of(sent[at : at + 256])
 
     return (
         source.mapInArrow(deal, ROWS)
         .groupBy("bucket")
         .applyInArrow(meet, SPANS)
-        .groupBy("_id")
-        .agg(F.collect_list(F.struct("from", "to")).alias("spans"))
+        .groupBy("_id", "_key")
+        .agg(F.collect_set(F.struct("from", "to")).alias("spans"))
     )
 
 
 def without_spans(
-    docs: DataFrame,
+    rows: DataFrame,
     spans: DataFrame,
     cut: Callable[[bytes, list[dict[str, int]]], tuple],
     columns: dict[str, pa.DataType],
 ) -> DataFrame:
-    """``doc_id`` and the ``columns`` that ``cut(text, spans)`` gives, for every row of ``docs``.
+    """``doc_id`` and the ``columns`` that ``cut(text, spans)`` gives, for every row of ``rows``.
 
     Texts meet their spans compressed, so the shuffle carries well under half of their bytes.
     """
-    python_tasks(docs.sparkSession)
+    python_tasks(rows.sparkSession)
 
     def shrink(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         small = zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
-            data = [small(t or b"") for t in batch.column(2).cast(pa.binary()).to_pylist()]
+            data = [small(t) for t in batch.column(3).cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:2], pa.array(data, pa.binary())], names=["doc_id", "_id", "data"]
+                [*batch.columns[:3], pa.array(data, pa.binary())], names=["doc_id", "_id", "_key", "data"]
             )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         whole = zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            rows = [
+            made = [
                 cut(whole(data), found or [])
                 for data, found in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())
             ]
-            values = list(zip(*rows)) or [()] * len(columns)
+            values = list(zip(*made)) or [()] * len(columns)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *map(pa.array, values, columns.values())], names=["doc_id", *columns]
             )
@@ -354,10 +398,9 @@ def without_spans(
     )
 
     return (
-        texts(docs)
-        .select("doc_id", "_id", "text")
-        .mapInArrow(shrink, "doc_id long, _id long, data binary")
-        .join(spans, "_id", "left")
+        rows.select("doc_id", "_id", "_key", "text")
+        .mapInArrow(shrink, "doc_id long, _id long, _key long, data binary")
+        .join(spans, ["_id", "_key"], "left")
         .select("doc_id", "data", "spans")
         .mapInArrow(run, schema)
     )
@@ -391,29 +434,31 @@ def grouped(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
             yield int(bucket[order[a]]), order[a:b]
 
 
-def span_rows(ids: np.ndarray, begin: np.ndarray, end: np.ndarray, buckets: int) -> list[tuple[int, int, bytes]]:
+def span_rows(docs: Docs, number: np.ndarray, begin: np.ndarray, end: np.ndarray, buckets: int) -> list[tuple[int, int, bytes]]:
     """Spans that a task knows by itself, dealt to buckets by their document."""
-    ids, begin, end = merged(ids, begin, end)
-    where = (mixed(ids.astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
-    return [(b, 1, packed([ids[at], begin[at], end[at]], b"")) for b, at in grouped(where)]
+    number, begin, end = merged(number, begin, end)
+    ids, keys_ = docs.ids[number], docs.keys[number]
+    where = (mixed((ids ^ keys_).astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+    return [(b, 1, packed([ids[at], keys_[at], begin[at], end[at]], b"")) for b, at in grouped(where)]
 
 
 def known_spans(table: pa.Table) -> list[np.ndarray]:
-    parts = [unpacked(d)[0] for k, d in zip(table["kind"].to_pylist(), table["data"].to_pylist()) if k == 1]
-    return [np.concatenate(c) if parts else np.zeros(0, np.int64) for c in zip(*parts)] or [np.zeros(0, np.int64)] * 3
+    """id, key, begin and end of the spans that came as such."""
+    found = [unpacked(d)[0] for k, d in zip(table["kind"].to_pylist(), table["data"].to_pylist()) if k == 1]
+    return [np.concatenate(c) for c in zip(*found)] if found else [np.zeros(0, np.int64)] * 4
 
 
 def strings_of(table: pa.Table):
     """The bucket's distinct strings and all records.
 
-    Returns the strings, and per record: string, id, begin; per string: the further columns.
+    Returns the strings; per string: the further column; per record: string, id, key, begin.
     """
     known: dict[bytes, int] = {}
-    which, ids, begins, extra = [], [], [], []
+    which, ids, keys_, begins, extra = [], [], [], [], []
     for kind, data in zip(table["kind"].to_pylist(), table["data"].to_pylist()):
         if kind:
             continue
-        (lengths, more, index, id_, begin), text = unpacked(data)
+        (lengths, more, index, id_, key, begin), text = unpacked(data)
         place = []
         at = 0
         for length, x in zip(lengths.tolist(), more.tolist()):
@@ -425,6 +470,13 @@ def strings_of(table: pa.Table):
             place.append(n)
         which.append(np.array(place, np.int64)[index])
         ids.append(id_)
+        keys_.append(key)
         begins.append(begin)
     none = [np.zeros(0, np.int64)]
-    return list(known), np.array(extra, np.int64), *(np.concatenate(none + x) for x in (which, ids, begins))
+    return list(known), np.array(extra, np.int64), *(np.concatenate(none + x) for x in (which, ids, keys_, begins))
+
+
+def numbered(*lists: tuple[np.ndarray, np.ndarray]) -> tuple[Docs, list[np.ndarray]]:
+    """The documents of several lists of (ids, keys), and their numbers list by list."""
+    docs, number = Docs.of(*(np.concatenate(c) for c in zip(*lists)))
+    return docs, np.split(number, np.cumsum([len(ids) for ids, _ in lists])[:-1])

@@ -40,24 +40,25 @@ def _words(flat: bytes) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
 
 def _sent(found: dict, bucket: np.ndarray, buckets: int) -> list[tuple[int, int, bytes]]:
     norm, begin, end = found["norm"], found["begin"].tolist(), found["end"].tolist()
-    id_list, start_list = found["id"].tolist(), found["start"].tolist()
+    docs, number, start, words = found["docs"], found["number"], found["start"], found["words"]
+    doc_list, start_list = number.tolist(), start.tolist()
     known: dict[bytes, int] = {}
     first, again = [], []
     # In order of places: rows of one document may interleave.
-    for n in np.lexsort((found["start"], found["id"])).tolist():
+    for n in np.lexsort((start, number)).tolist():
         f = known.setdefault(norm[begin[n] : end[n]], n)
         if f == n:
             first.append(n)
-        elif id_list[f] != id_list[n] or start_list[f] != start_list[n]:  # equal rows do not repeat each other
+        elif doc_list[f] != doc_list[n] or start_list[f] != start_list[n]:  # equal rows do not repeat each other
             again.append(n)
-    ids, start, words = found["id"], found["start"], found["words"]
-    rows = mz.span_rows(ids[again], start[again], start[again] + words[again], buckets) if again else []
+    rows = mz.span_rows(docs, number[again], start[again], start[again] + words[again], buckets) if again else []
     kept = np.array(first, np.int64)
     for b, at in mz.grouped(bucket[kept]):
         n = kept[at]
         strings = [norm[begin[x] : end[x]] for x in n.tolist()]
         lengths = np.array([len(s) for s in strings], np.int64)
-        rows.append((b, 0, mz.packed([lengths, words[n], np.arange(len(n)), ids[n], start[n]], b"".join(strings))))
+        columns = [lengths, words[n], np.arange(len(n)), docs.ids[number[n]], docs.keys[number[n]], start[n]]
+        rows.append((b, 0, mz.packed(columns, b"".join(strings))))
     return rows
 
 
@@ -68,22 +69,23 @@ def dedup_substrings(docs: DataFrame, width: int = 20) -> DataFrame:
     smaller doc_id, or in the same document at an earlier word. ``kept`` is the other words,
     joined by single spaces. Windows are judged on the input.
 
-    Null and empty texts have no words; texts of fewer words than ``width`` lose none. A null
-    doc_id is the smallest. Rows with one doc_id are one document: equal rows do not repeat each
-    other, and a span found in one holds for all. An empty table gives an empty result. Other
-    columns are not read.
+    Null and empty texts have no words; texts of fewer words than ``width`` lose none; very long
+    ones are read in overlapping pieces. A null doc_id is the smallest. Equal rows are one document and
+    do not repeat each other. Different texts that share a doc_id, or have none, are documents of
+    their own, in the order of their hashes. An empty table gives an empty result. Other columns are
+    not read.
     """
 
-    def cut(id_: int, text: bytes) -> Iterator[mz.Piece]:
+    def cut(text: bytes) -> Iterator[tuple[int, bytes]]:
         words, step = text.split(), CHUNK // 16
         for at in range(0, max(1, len(words) - width + 1), step):
-            yield id_, at, b" ".join(words[at : at + step + width - 1])
+            yield at, b" ".join(words[at : at + step + width - 1])
 
     def prepare(chunk: mz.Chunk, cells: mz.Cells) -> dict:
-        ids = np.array([p[0] for p in chunk], np.int64)
-        base = np.array([p[1] for p in chunk], np.int64)
-        sizes = np.array([len(p[2]) + 1 for p in chunk], np.int64)
-        norm, begin, end, place = _words(b" ".join([*(p[2] for p in chunk), b""]))
+        docs, number = mz.documents_of(chunk)
+        base = np.array([p[2] for p in chunk], np.int64)
+        sizes = np.array([len(p[3]) + 1 for p in chunk], np.int64)
+        norm, begin, end, place = _words(b" ".join([*(p[3] for p in chunk), b""]))
         owner = np.searchsorted(np.cumsum(sizes) - 1, place)
         nth = np.arange(len(owner)) - np.searchsorted(owner, owner)
         words = mz.hashes(mz.sums(np.frombuffer(norm, np.uint8)), begin, end)
@@ -102,32 +104,36 @@ def dedup_substrings(docs: DataFrame, width: int = 20) -> DataFrame:
             "begin": begin[first],
             "end": end[last + width - 1],
             "bytes": end[last + width - 1] - begin[first],
-            "id": ids[doc],
+            "docs": docs,
+            "number": number[doc],
             "start": base[doc] + nth[first],
             "words": last - first + width,
         }
 
     def meet(table: pa.Table) -> pa.Table:
-        spans = [mz.known_spans(table)]
-        strings, words, which, ids, start = mz.strings_of(table)
+        id_, key, begin, end = mz.known_spans(table)
+        strings, words, which, ids, keys, start = mz.strings_of(table)
+        docs, (known, number) = mz.numbered((id_, key), (ids, keys))
+        spans = [(known, begin, end)]
         if strings:
             # The first place of every string; at its other places all of it repeats.
-            order = np.lexsort((start, ids, which))
-            which, ids, start = which[order], ids[order], start[order]
+            order = np.lexsort((start, number, which))
+            which, number, start = which[order], number[order], start[order]
             head = np.append(True, which[1:] != which[:-1])
-            first_id, first_start = ids[head], start[head]
-            later = (ids != first_id[which]) | (start != first_start[which])
-            spans.append([ids[later], start[later], start[later] + words[which[later]]])
-            spans.append(_repeated(strings, words, first_id, first_start, width))
-        return mz.spans_batch(*mz.merged(*(np.concatenate(c) for c in zip(*spans))))
-
-    spans = mz.repeated_spans(docs, CHUNK, cut, prepare, _sent, meet)
+            first_doc, first_start = number[head], start[head]
+            later = (number != first_doc[which]) | (start != first_start[which])
+            spans.append((number[later], start[later], start[later] + words[which[later]]))
+            spans.append(_repeated(strings, words, first_doc, first_start, width))
+        return mz.spans_batch(docs, *mz.merged(*(np.concatenate(c) for c in zip(*spans))))
+
+    rows = mz.identified(docs)
+    spans = mz.repeated_spans(rows, CHUNK, cut, prepare, _sent, meet)
     return mz.without_spans(
-        docs, spans, _cut, {"n_words": pa.int64(), "n_removed": pa.int64(), "kept": pa.string()}
+        rows, spans, _cut, {"n_words": pa.int64(), "n_removed": pa.int64(), "kept": pa.string()}
     )
 
 
-def _repeated(strings: list[bytes], words: np.ndarray, ids: np.ndarray, starts: np.ndarray, width: int):
+def _repeated(strings: list[bytes], words: np.ndarray, docs: np.ndarray, starts: np.ndarray, width: int):
     """Spans of windows of distinct ``strings`` that have an earlier place in the bucket."""
     found = []
     for a, b in mz.parts(np.array([len(s) for s in strings])):
@@ -143,17 +149,17 @@ def _repeated(strings: list[bytes], words: np.ndarray, ids: np.ndarray, starts:
     hash_, owner, begin, end, nth = (np.concatenate(c) for c in zip(*found))
     window = mz.repeated(hash_)
     owner, begin, end = owner[window], begin[window].tolist(), end[window].tolist()
-    id_, place = ids[owner], starts[owner] + nth[window]
+    doc, place = docs[owner], starts[owner] + nth[window]
     first: dict[bytes, tuple[int, int]] = {}
     out: list[tuple[int, int]] = []
-    id_list, place_list, owner_list = id_.tolist(), place.tolist(), owner.tolist()
-    for n in np.lexsort((place, id_, hash_[window])).tolist():
+    doc_list, place_list, owner_list = doc.tolist(), place.tolist(), owner.tolist()
+    for n in np.lexsort((place, doc, hash_[window])).tolist():
         # Sorted by place within a hash: the first with these very words is the earliest.
-        here = id_list[n], place_list[n]
+        here = doc_list[n], place_list[n]
         if first.setdefault(strings[owner_list[n]][begin[n] : end[n]], here) != here:
             out.append(here)
     made = np.array(out, np.int64).reshape(-1, 2)
-    return [made[:, 0], made[:, 1], made[:, 1] + width]
+    return made[:, 0], made[:, 1], made[:, 1] + width
 
 
 def _cut(text: bytes, spans: list[dict[str, int]]) -> tuple[int, int, str]:

@@ -35,17 +35,18 @@ def _sent(found: dict, bucket: np.ndarray, buckets: int) -> list[tuple[int, int,
     flat, begin, end = found["flat"], found["begin"].tolist(), found["end"].tolist()
     known: dict[bytes, int] = {}
     of = np.array([known.setdefault(flat[a:b], n) for n, (a, b) in enumerate(zip(begin, end))], np.int64)
-    ids, start, trigger = found["id"], found["start"], found["trigger"]
-    # Rows are in order of ids: the first place of a string has the smallest id of the chunk.
-    later = ids > ids[of]
+    docs, number, start, trigger = found["docs"], found["number"], found["start"], found["trigger"]
+    # Rows are in order of documents: the first place of a string has the smallest one of the chunk.
+    later = number > number[of]
     length = found["end"] - found["begin"]
-    rows = mz.span_rows(ids[later], start[later], start[later] + length[later], buckets) if later.any() else []
+    rows = mz.span_rows(docs, number[later], start[later], start[later] + length[later], buckets) if later.any() else []
     record = np.flatnonzero(~later)
     for b, at in mz.grouped(bucket[record]):
         n = record[at]
         strings, index = np.unique(of[n], return_inverse=True)
         text = b"".join([flat[begin[x] : end[x]] for x in strings.tolist()])
-        rows.append((b, 0, mz.packed([length[strings], trigger[strings], index, ids[n], start[n]], text)))
+        columns = [length[strings], trigger[strings], index, docs.ids[number[n]], docs.keys[number[n]], start[n]]
+        rows.append((b, 0, mz.packed(columns, text)))
     return rows
 
 
@@ -57,21 +58,21 @@ def dedup_strings(docs: DataFrame, width: int = 50) -> DataFrame:
     input. ``kept`` (binary: a cut may split a character) is the other bytes, ``n_spans`` the
     number of removed runs.
 
-    Null and empty texts have no bytes; texts shorter than ``width`` lose none. A null doc_id is
-    the smallest. Rows with one doc_id are one document: they do not repeat each other, and a
-    span found in one holds for all. An empty table gives an empty result. Other columns are not
-    read.
+    Null and empty texts have no bytes; texts shorter than ``width`` lose none; very long ones are
+    read in overlapping pieces. A null doc_id is the smallest. Equal rows are one document and do not
+    repeat each other. Different texts that share a doc_id, or have none, are documents of their own, in
+    the order of their hashes. An empty table gives an empty result. Other columns are not read.
     """
 
-    def cut(id_: int, text: bytes) -> Iterator[mz.Piece]:
+    def cut(text: bytes) -> Iterator[tuple[int, bytes]]:
         for at in range(0, max(1, len(text) - width + 1), CHUNK):
-            yield id_, at, text[at : at + CHUNK + width - 1]
+            yield at, text[at : at + CHUNK + width - 1]
 
     def prepare(chunk: mz.Chunk, cells: mz.Cells) -> dict:
-        ids = np.array([p[0] for p in chunk], np.int64)
-        base = np.array([p[1] for p in chunk], np.int64)
-        sizes = np.array([len(p[2]) for p in chunk], np.int64)
-        flat = b"".join([p[2] for p in chunk])
+        docs, number = mz.documents_of(chunk)
+        base = np.array([p[2] for p in chunk], np.int64)
+        sizes = np.array([len(p[3]) for p in chunk], np.int64)
+        flat = b"".join([p[3] for p in chunk])
         owner = np.repeat(np.arange(len(chunk), dtype=np.int32), sizes)
         running = mz.sums(np.frombuffer(flat, np.uint8))
         rolling = mz.hashes_of_width(running, TRIGGER)
@@ -88,20 +89,23 @@ def dedup_strings(docs: DataFrame, width: int = 50) -> DataFrame:
             "begin": first,
             "end": last + width,
             "bytes": last + width - first,
-            "id": ids[doc],
+            "docs": docs,
+            "number": number[doc],
             "start": base[doc] + first - (np.cumsum(sizes) - sizes)[doc],
             "trigger": at + TRIGGER - first,
         }
 
     def meet(table: pa.Table) -> pa.Table:
-        spans = [mz.known_spans(table)]
-        strings, trigger, which, ids, start = mz.strings_of(table)
+        id_, key, begin, end = mz.known_spans(table)
+        strings, trigger, which, ids, keys, start = mz.strings_of(table)
+        docs, (known, number) = mz.numbered((id_, key), (ids, keys))
+        spans = [(known, begin, end)]
         if strings:
             least = np.full(len(strings), np.iinfo(np.int64).max)
-            np.minimum.at(least, which, ids)
+            np.minimum.at(least, which, number)
             length = np.array([len(s) for s in strings], np.int64)
-            later = ids > least[which]
-            spans.append([ids[later], start[later], start[later] + length[which[later]]])
+            later = number > least[which]
+            spans.append((number[later], start[later], start[later] + length[which[later]]))
             string, offset = corpus_repeats(strings, trigger, least, width)
             # What repeats a string of another document holds at all places of this string.
             places = np.flatnonzero(~later)
@@ -112,13 +116,14 @@ def dedup_strings(docs: DataFrame, width: int = 50) -> DataFrame:
             nth = np.arange(repeat.sum()) - np.repeat(np.cumsum(repeat) - repeat, repeat)
             place = places[np.repeat(firsts[string], repeat) + nth]
             at = start[place] + np.repeat(offset, repeat)
-            spans.append([ids[place], at, at + width])
-        return mz.spans_batch(*mz.merged(*(np.concatenate(c) for c in zip(*spans))))
+            spans.append((number[place], at, at + width))
+        return mz.spans_batch(docs, *mz.merged(*(np.concatenate(c) for c in zip(*spans))))
 
     # Windows dealt one by one took too much disk here, so hot triggers give way once (see README).
-    spans = mz.repeated_spans(docs, CHUNK, cut, prepare, _sent, meet, passes=1)
+    rows = mz.identified(docs)
+    spans = mz.repeated_spans(rows, CHUNK, cut, prepare, _sent, meet, passes=1)
     numbers = {"n_bytes": pa.int64(), "n_removed": pa.int64(), "n_spans": pa.int64()}
-    return mz.without_spans(docs, spans, _cut, {**numbers, "kept": pa.binary()})
+    return mz.without_spans(rows, spans, _cut, {**numbers, "kept": pa.binary()})
 
 
 def _classes(strings: list[bytes], depth: int) -> np.ndarray:
@@ -163,7 +168,7 @@ def _maybe(strings: list[bytes], trigger: np.ndarray, width: int) -> np.ndarray:
 def corpus_repeats(strings: list[bytes], trigger: np.ndarray, ids: np.ndarray, width: int):
     """String and offset of each window that a string with a smaller id has too.
 
-    ``trigger``: end of each string's trigger. ``ids``: smallest doc_id of each string.
+    ``trigger``: end of each string's trigger. ``ids``: smallest document of each string.
     """
     some = _maybe(strings, trigger, width)
     found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]

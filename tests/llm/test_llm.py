@@ -156,7 +156,8 @@ def test_hot_passage(spark, monkeypatch):
     def weighed(docs, size, cut, prepare, send, meet):
         def weigh(table):
             strings = minimisers.strings_of(table)[0]
-            return minimisers.spans_batch([sum(map(len, strings))], [0], [0])
+            docs = minimisers.Docs(np.array([sum(map(len, strings))]), np.zeros(1, np.int64))
+            return minimisers.spans_batch(docs, np.zeros(1, np.int64), [0], [0])
 
         sizes = original(docs, size, cut, prepare, send, weigh)
         largest.append(max(r._id for r in sizes.collect()))
