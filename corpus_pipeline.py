@@ -45,13 +45,12 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest doc_id.
+    """Of each group of near duplicates one document, that with the smallest doc_id.
 
-    Documents without an id stay only if their whole group has none.
+    A document without an id stays only if its whole group has none. Rows that repeat an id, or an
+    id and its text, are members like others, so one row of the group stays in all.
     """
-    found = simhash.near_duplicates(docs)
-    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept"]), "left_semi")
+    return simhash.one_of_each(docs)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -65,17 +65,17 @@ def fingerprints_of(texts: list[str | None], width: int) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, width: int = 4) -> DataFrame:
-    """``doc_id, fingerprint`` (long) for every row of ``docs`` (doc_id, text)."""
+    """``doc_id, text_hash, fingerprint`` (longs) for every row of ``docs`` (doc_id, text)."""
     python_tasks(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = fingerprints_of(batch.column(1).to_pylist(), width).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found)], names=["doc_id", "fingerprint"])
+            found = fingerprints_of(batch.column(2).to_pylist(), width).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(found)], names=["doc_id", "text_hash", "fingerprint"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        run, "doc_id long, fingerprint long"
-    )
+    text = F.col("text").cast("string")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
+    return rows.mapInArrow(run, "doc_id long, text_hash long, fingerprint long")
 
 
 def popcounts(x: np.ndarray) -> np.ndarray:
@@ -276,13 +276,14 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, width: int = 4, max_bits: int = 4) -> DataFrame:
-    """``doc_id, fingerprint, component_id`` for every row of ``docs`` (doc_id, text).
+    """``doc_id, fingerprint, component_id, text_hash, root`` for every row of ``docs`` (doc_id, text).
 
     ``component_id`` is the smallest doc_id that links of at most ``max_bits`` differing bits
-    reach. A text of fewer than ``width`` words has one shingle, all of it; one without words, or
-    null, has the fingerprint zero and is linked like any other. A null doc_id is never the
-    smallest unless all are null. Repeated rows give a row each. An empty table gives an empty
-    result. Other columns are not read.
+    reach, ``root`` the fingerprint that names the component. A text of fewer than ``width`` words has
+    one shingle, all of it; one without words, or null, has the fingerprint zero and is linked like any
+    other; of a very long one all shingles count. A null doc_id is never the smallest unless all are
+    null. Repeated rows give a row each. An empty table gives an empty result. Other columns are not
+    read.
     """
     found = materialise(fingerprints(docs, width), "fingerprints")
     distinct = materialise(
@@ -292,8 +293,32 @@ def near_duplicates(docs: DataFrame, width: int = 4, max_bits: int = 4) -> DataF
         components(links(distinct, max_bits)).withColumnRenamed("node", "fingerprint"), "fingerprint", "left"
     ).select("fingerprint", "first_id", F.coalesce("root", "fingerprint").alias("root"))
     smallest = roots.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    member = roots.join(smallest, "root").select("fingerprint", "component_id")
-    return found.join(member, "fingerprint").select("doc_id", "fingerprint", "component_id")
+    member = roots.join(smallest, "root").select("fingerprint", "component_id", "root")
+    return found.join(member, "fingerprint").select("doc_id", "fingerprint", "component_id", "text_hash", "root")
+
+
+def one_of_each(docs: DataFrame, width: int = 4, max_bits: int = 4) -> DataFrame:
+    """One whole row of ``docs`` (doc_id, text and any others) per component.
+
+    The row with the smallest doc_id, one without an id only if no row of the component has one;
+    among equal ids the text with the smallest hash; of equal ids and texts any row.
+    """
+    found = materialise(near_duplicates(docs, width, max_bits), "components")
+    rows = found.groupBy("root", "doc_id", "text_hash").agg(F.count("*").alias("n"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_hash", "n"))
+    chosen = rows.groupBy("root").agg(first.alias("r")).select(
+        F.col("r.doc_id").alias("_id"), F.col("r.text_hash").alias("_hash"), F.col("r.n").alias("_n")
+    )
+    chosen = materialise(chosen, "kept")
+
+    def of(kept: DataFrame) -> DataFrame:
+        text = docs["text"].cast("string")
+        same = docs["doc_id"].cast("long").eqNullSafe(kept["_id"]) & (F.xxhash64(text) == kept["_hash"])
+        return docs.join(kept, same, "left_semi")
+
+    # Rows that repeat a kept one are few or none: only these are grouped.
+    repeated = of(chosen.filter("_n > 1")).withColumn("_hash", F.xxhash64(F.col("text").cast("string")))
+    return of(chosen.filter("_n = 1")).unionByName(repeated.dropDuplicates(["doc_id", "_hash"]).drop("_hash"))
 
 
 def as_hex(fingerprint: str = "fingerprint"):
