@@ -169,7 +169,7 @@ def _days(rows: DataFrame) -> list:
 
 def _load_both(spark, sf_dir):
     warehouse = Warehouse(spark, scratch_path(spark, "warehouse"))
-    warehouse.bootstrap(by="month")
+    warehouse.bootstrap(by="year")
     flat = materialise(flat_sales(spark, sf_dir), "sales-file")
     results = []
     for rows, load_ts in ((target_rows(flat), FIRST), (changed_batch(flat), SECOND)):

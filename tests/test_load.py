@@ -306,6 +306,112 @@ def test_refused_files_do_not_block_the_others(spark, warehouse, tmp_path):
     assert sorted(r.path[-5:] for r in refused) == ["a.csv", "c.csv", "d.csv"]
 
 
+def taken(warehouse):
+    return {r.source[-5:]: r for r in warehouse.loads().collect()}
+
+
+def test_an_undated_file_is_refused_with_its_counts(spark, warehouse, tmp_path):
+    folder, checkpoint = tmp_path / "in", str(tmp_path / "cp")
+    write_csv(folder / "a.csv", [{"sale_date": "never"}, {"sale_date": ""}])
+    load_arrivals(spark, str(folder), warehouse.root, checkpoint, T1).awaitTermination()
+    write_csv(folder / "b.csv", [{"item_id": "2"}])
+    write_csv(folder / "e.csv", [])
+    load_arrivals(spark, str(folder), warehouse.root, checkpoint, T2).awaitTermination()
+    assert [r.item_id for r in warehouse.read("order_items").collect()] == [2]
+    found = taken(warehouse)
+    assert {k: r.status for k, r in found.items()} == {"a.csv": "REFUSED", "b.csv": "SUCCESS", "e.csv": "REFUSED"}
+    assert found["a.csv"].metrics == {"read": 2, "bad_records": 0, "bad_dates": 2}
+    assert found["a.csv"].reason == "no row has a valid date" and found["a.csv"].loaded_at == T1
+    assert {r.path[-5:] for r in spark.read.parquet(f"{warehouse.root}/refused").collect()} == {"a.csv", "e.csv"}
+
+
+def test_undated_rows_and_replaced_values_of_a_file_are_counted(spark, warehouse, tmp_path):
+    folder = tmp_path / "in"
+    write_csv(folder / "a.csv", [
+        {"item_id": "1"}, {"item_id": "2", "sale_date": "never"},
+        {"item_id": "3", "discount_percent": "many"}, {"item_id": "4", "discounted": "perhaps"},
+    ])
+    load_arrivals(spark, str(folder), warehouse.root, str(tmp_path / "cp"), T1).awaitTermination()
+    record = taken(warehouse)["a.csv"]
+    want = {"read": 4, "filtered": 3, "bad_dates": 1, "bad_records": 0, "bad_percents": 1, "bad_flags": 1, "upserted_order_items": 3}
+    assert record.status == "SUCCESS" and want.items() <= record.metrics.items()
+    assert record.version == warehouse.manifest().version
+
+
+def test_a_repeated_epoch_changes_nothing(spark, warehouse, tmp_path):
+    from salesmart.streaming.arrivals import load_epoch
+
+    paths = [
+        write_csv(tmp_path / "in" / "a.csv", [{"item_id": "1", "first_name": "Ann"}]),
+        write_csv(tmp_path / "in" / "b.csv", [{"sale_date": "never"}]),
+        write_csv(tmp_path / "in" / "c.csv", [{"item_id": "3", "first_name": "Eve"}]),
+    ]
+    files = [(p, datetime(2025, 6, 1 + i)) for i, p in enumerate(paths)]
+
+    def epoch(n, some, ts):
+        load_epoch(spark, warehouse.root, spark.createDataFrame(some, "path string, modificationTime timestamp"), n, "s", ts)
+
+    epoch(0, files[:2], T1)  # lost before the stream noted the epoch, with one file to go
+    before, version = state(warehouse), warehouse.manifest().version
+    epoch(0, files[:2], T2)
+    assert (state(warehouse), warehouse.manifest().version) == (before, version)
+    epoch(0, files, T2)
+    assert sorted(r.item_id for r in warehouse.read("order_items").collect()) == [1, 3]
+    assert warehouse.loads().count() == 3 and spark.read.parquet(f"{warehouse.root}/refused").count() == 1
+    version = warehouse.manifest().version
+    epoch(1, files[:1], T3)  # another epoch is another load
+    assert warehouse.manifest().version == version + 1
+
+
+def test_what_is_not_the_files_fault_fails_the_run(spark, warehouse, tmp_path, monkeypatch):
+    folder, checkpoint = tmp_path / "in", str(tmp_path / "cp")
+    write_csv(folder / "a.csv", [{"item_id": "1"}])
+    publish = Warehouse.publish
+
+    def beaten(self, manifest, load=None):
+        publish(self, manifest, load)
+        publish(self, manifest, load)
+
+    monkeypatch.setattr(Warehouse, "publish", beaten)
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS|already exists"):
+        load_arrivals(spark, str(folder), warehouse.root, checkpoint, T1).awaitTermination()
+    monkeypatch.undo()
+    assert not warehouse.loads().filter("status = 'REFUSED'").count()
+    # The lost race had published this very file, so the repeated epoch has nothing left to do.
+    load_arrivals(spark, str(folder), warehouse.root, checkpoint, T2).awaitTermination()
+    assert [(r.item_id, r.created_at) for r in warehouse.read("order_items").collect()] == [(1, T1)]
+
+
+def test_a_load_needs_a_day(warehouse, tmp_path):
+    raw = read_sales_csv(warehouse.spark, write_csv(tmp_path / "a.csv", [{}]))
+    with pytest.raises(ValueError, match="no day"):
+        daily_load(warehouse, raw, [], T1, FILE_ORDER)
+
+
+def test_a_merge_by_key_does_not_shuffle(spark, tmp_path):
+    """Nothing of the target is shuffled, nor the staged batch, and a bucket stays in two files."""
+    import glob
+
+    from salesmart.operators.merge import upsert
+    from salesmart.plans.daily_load import _side_by_side
+
+    mart = Warehouse(spark, str(tmp_path / "mart"))
+    mart.bootstrap("year", buckets=4)
+    lines = [{"item_id": str(i), "sale_id": str(i // 3), "quantity": "1"} for i in range(60)]
+    path = write_csv(tmp_path / "a.csv", lines)
+    for ts in (T1, T2, T3):
+        load(mart, path, "20250616", ts)
+    manifest = mart.manifest()
+    table = TABLES["order_items"]
+    target = mart.merge_side("order_items", manifest.of("order_items"), manifest.buckets)
+    plan = upsert(target, _side_by_side("order_items", target), table, T3)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and plan.count("SortMergeJoin") == 3
+    mart.forget()
+    ver = manifest.of("order_items")[0].ver
+    assert len(glob.glob(f"{mart.root}/order_items/ver={ver}/period=2025/*.parquet")) <= 2 * 4
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("salesmart_")]
+
+
 def test_malformed_records_are_refused_and_listed(spark, warehouse, tmp_path):
     path = write_csv(tmp_path / "bad.csv", [{"item_id": str(i)} for i in range(1, 4)])
     lines = open(path).read().splitlines()
