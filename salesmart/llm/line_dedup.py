@@ -159,7 +159,9 @@ def dedup_lines(
             batch = batch.filter(F.col("_id") <= above)
         if below is not None:
             batch = batch.filter(F.col("_id") > below)
-        runs.add(batch.groupBy("key").agg(F.max("_id").alias("keeper")))
+        # Written first: an anti join with it would be pushed below the aggregate, to all rows of a key.
+        keepers = batch.groupBy("key").agg(F.max("_id").alias("keeper"))
+        runs.add(materialise(keepers, "line-batch"))
 
     lost = (
         found.join(for_salts(runs.read(), heavy), ["key", "salt"])
