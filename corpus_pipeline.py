@@ -3,6 +3,9 @@
 Each stage takes the documents that the one before kept and calls one operator on all of them.
 Its result is written as Parquet to shared storage and read again, so a lost executor costs the
 current stage at most.
+
+All stages take null ids, null, empty and very long texts, repeated rows and columns of any name. An empty
+table gives an empty result.
 """
 
 from __future__ import annotations

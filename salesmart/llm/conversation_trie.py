@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from salesmart.llm.arrays import smallest
 from salesmart.llm.common import python_tasks
 from salesmart.llm.parens import Parens
 from salesmart.session import materialise
@@ -77,18 +78,6 @@ def common_turns(a: bytes, b: bytes) -> int:
     return int(differ.argmax()) // TOKEN
 
 
-def smallest(values: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """The least of ``values[first:end]`` for each pair, from minima of all stretches of 2**k."""
-    out = np.empty(len(first), values.dtype)
-    k_of = np.frexp((end - first).astype(float))[1] - 1
-    level = values
-    for k in range(int(k_of.max()) + 1):
-        at = np.flatnonzero(k_of == k)
-        out[at] = np.minimum(level[first[at]], level[end[at] - (1 << k)])
-        level = np.minimum(level[: -(1 << k)], level[1 << k :])
-    return out
-
-
 COLUMNS = {
     **dict.fromkeys(["part", "shard", "pre"], "long"),
     **dict.fromkeys(["digest", "parent_digest"], "binary"),

@@ -12,6 +12,7 @@ A recomputed task gives the same rows: ranks follow from the rows' own values.
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import zlib
@@ -42,6 +43,29 @@ def _byte_letters() -> dict[int, str]:
 
 BYTE_LETTERS = _byte_letters()
 
+# The steps of a tokenizer file for which a text's ids are those of its words.
+BY_WORDS = {
+    "normalizer": {
+        "type": "Sequence",
+        "normalizers": [
+            {"type": "NFC"},
+            {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+            {"type": "Lowercase"},
+        ],
+    },
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {
+                "type": "Split",
+                "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+                "behavior": "Removed",
+                "invert": True,
+            },
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
 
 
 class WordEncoder:
@@ -50,7 +74,8 @@ class WordEncoder:
     The tokenizer drops white space and takes a text apart into letters, digits and the rest
     before it merges, so a text's ids are those of its words one after the other, and a word of
     letters with punctuation behind it is two parts. Words and letters seen before come from
-    bounded memories; new letters go to the tokenizer's merges directly.
+    bounded memories; new letters go to the tokenizer's merges directly. A tokenizer file with other
+    steps encodes whole texts.
     """
 
     def __init__(self, path: str):
@@ -58,12 +83,17 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as file:
+            steps = json.load(file)
+        self.by_words = all(steps.get(step) == wanted for step, wanted in BY_WORDS.items())
         self.words: dict[bytes, bytes] = {}
         self.letters: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.endings: dict[str, bytes] = {"": b""}
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
+        if not self.by_words:
+            return self._ids([(t or b"").decode() for t in texts])
         words = [(t or b"").split() for t in texts]
         if len(self.words) > REMEMBERED:
             self.words = {}

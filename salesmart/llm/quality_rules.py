@@ -156,8 +156,8 @@ def judge(docs: DataFrame, thresholds: Sequence[Threshold] = THRESHOLDS) -> Data
 
     ``base_failed``: under 50 words, or over half of them in repeated windows of three words.
     ``kept``: not base_failed and within all thresholds. Null and empty texts have no words and
-    fail. Rows are judged one by one, so repeated rows and null ids give a row each; an empty
-    table gives an empty result. Other columns are not read.
+    fail; of a very long text every word and line counts. Rows are judged one by one, so repeated rows
+    and null ids give a row each; an empty table gives an empty result. Other columns are not read.
     """
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return measured(docs).select("*", failed.alias("base_failed"), (~failed & verdict(thresholds)).alias("kept"))

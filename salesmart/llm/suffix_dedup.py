@@ -6,11 +6,12 @@ string is the trigger of a window follows from the window alone. Each phrase, up
 trigger, goes to the bucket of that trigger together with what the parse has after it, as far as
 a window reaches.
 
-In a bucket the distinct phrases are the dictionary. Two orders are made: that of all suffixes of
-the dictionary (sorted from the trigger backwards, so that the suffixes of one length are already
-classed by common lengths), and that of the parse's continuations. A window is a suffix of a phrase and
-a prefix of a continuation; both orders together give corpus order, in which equal windows are
-neighbours, and the smallest doc_id of each class decides. Nothing is compared by hash alone.
+In a bucket the distinct phrases are the dictionary, and the distinct continuations are the parse. Two
+suffix arrays are made: that of all suffixes of the dictionary, by prefix doubling, and the sorted
+order of the parse with the lengths that neighbours share. A window is a suffix of a phrase and a
+prefix of a continuation: sorted by the rank of the one and then by that of the other, windows stand
+in corpus order, in which equal windows are neighbours, as the shared lengths say, and the smallest
+doc_id of each class decides. Nothing is compared by hash alone.
 
 A task sends a phrase with its continuation once, so highly repetitive text shrinks to its
 dictionary before the shuffle; repeats inside a chunk travel as spans, dealt by document.
@@ -25,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from salesmart.llm import minimisers as mz
+from salesmart.llm.arrays import smallest, sorted_with_shared, suffix_ranks
 
 TRIGGER = 8
 CHUNK = 3 << 20
@@ -126,25 +128,6 @@ def dedup_strings(docs: DataFrame, width: int = 50) -> DataFrame:
     return mz.without_spans(rows, spans, _cut, {**numbers, "kept": pa.binary()})
 
 
-def _classes(strings: list[bytes], depth: int) -> np.ndarray:
-    """For each string and each length up to ``depth``: the class of its prefix of that length.
-
-    Equal prefixes are one class. From the sorted strings and the lengths that neighbours share.
-    """
-    order = sorted(range(len(strings)), key=strings.__getitem__)
-    length = np.array([len(strings[i]) for i in order], np.int64)
-    table = np.full((len(order), depth), -1, np.int16)
-    inside = np.arange(depth) < length[:, None]
-    table[inside] = np.frombuffer(b"".join([strings[i][:depth] for i in order]), np.uint8)
-    shared = np.cumprod(table[1:] == table[:-1], axis=1, dtype=np.int8).sum(1)
-    # A prefix longer than the string is never asked for, so shared padding does no harm.
-    new = np.ones((len(order), depth + 1), np.int32)
-    new[1:] = shared[:, None] < np.arange(depth + 1)
-    classes = np.empty_like(new)
-    classes[order] = np.cumsum(new, axis=0)
-    return classes
-
-
 def _maybe(strings: list[bytes], trigger: np.ndarray, width: int) -> np.ndarray:
     """Strings that can share a window: one half of the rest of a window stands on the same side
     of the trigger in another string too. Unequal hashes prove that they do not."""
@@ -185,24 +168,36 @@ def corpus_repeats(strings: list[bytes], trigger: np.ndarray, ids: np.ndarray, w
     return np.concatenate(string), np.concatenate(offset)
 
 
+def _numbers(strings: list[bytes]) -> tuple[list[bytes], np.ndarray]:
+    """The distinct strings, and the number of each."""
+    known: dict[bytes, int] = {}
+    number = np.array([known.setdefault(s, len(known)) for s in strings], np.int64)
+    return list(known), number
+
+
 def _repeats_among(strings: list[bytes], some: np.ndarray, trigger: np.ndarray, ids: np.ndarray, width: int):
     cut = trigger[some].tolist()
-    phrases = [strings[i][:t][::-1] for i, t in zip(some.tolist(), cut)]
-    rest = [strings[i][t:] for i, t in zip(some.tolist(), cut)]
-    dictionary = _classes(phrases, width)
-    parse = _classes(rest, width - TRIGGER)
+    dictionary, phrase = _numbers([strings[i][:t] for i, t in zip(some.tolist(), cut)])
+    suffix_rank, begin = suffix_ranks(dictionary, width)
+    parse, shared = sorted_with_shared([strings[i][t:] for i, t in zip(some.tolist(), cut)], width - TRIGGER)
 
     windows = np.array([len(strings[i]) - width + 1 for i in some.tolist()], np.int64)
     row = np.repeat(np.arange(len(some)), windows)
     offset = np.arange(len(row)) - np.repeat(np.cumsum(windows) - windows, windows)
-    suffix = trigger[some][row] - offset  # bytes of the window up to the end of its trigger
-    key = dictionary[row, suffix].astype(np.int64) * (int(parse.max()) + 1) + parse[row, width - suffix]
-    key = key * (width + 1) + suffix
-    order = np.argsort(key, kind="stable")
-    head = np.append(True, key[order][1:] != key[order][:-1])
+    rank = suffix_rank[begin[phrase[row]] + offset]
+    after = width - (trigger[some][row] - offset)  # bytes of the window in the parse
+    order = np.argsort(rank * (len(shared) + 1) + parse[row], kind="stable")  # corpus order
+    row, offset, rank, after = row[order], offset[order], rank[order], after[order]
+    place = parse[row]
+    # Neighbours with one suffix are equal if all places of the parse between them share enough.
+    same = np.flatnonzero(rank[1:] == rank[:-1])
+    moved = place[same + 1] > place[same]
+    equal = np.ones(len(same), bool)
+    equal[moved] = smallest(shared, place[same[moved]] + 1, place[same[moved] + 1] + 1) >= after[same[moved]]
+    head = np.ones(len(row), bool)
+    head[same[equal] + 1] = False
     owner = ids[some][row]
-    least = np.empty(len(row), np.int64)
-    least[order] = np.minimum.reduceat(owner[order], np.flatnonzero(head))[np.cumsum(head) - 1]
+    least = np.minimum.reduceat(owner, np.flatnonzero(head))[np.cumsum(head) - 1]
     repeated = np.flatnonzero(least < owner)
     return some[row[repeated]], offset[repeated]
 

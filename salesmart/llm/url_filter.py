@@ -46,6 +46,7 @@ ORDER = 5
 ALPHABET = 256
 HOLD_OUT = 5
 BINS = 20_000
+HEAVY = 1000
 
 
 def with_parts(pages: DataFrame, rules: Sequence[UrlRule] = RULES) -> DataFrame:
@@ -189,8 +190,8 @@ def filter_urls(pages: DataFrame, rules: Sequence[UrlRule] = RULES, order: int =
     A rule's verdict stands; otherwise a URL is allowed if its score reaches the threshold.
     Null URLs and those without ``://`` have an empty host and path and no rule; null and empty
     URLs score 0. Without examples of both classes every score is 0 and so is the threshold.
-    Repeated URLs count once in training. Rows with equal or null page_id are rows like others.
-    An empty table gives an empty result. Other columns are not read.
+    Repeated URLs count once in training; of a very long URL every character is scored. Rows with equal
+    or null page_id are rows like others. An empty table gives an empty result. Other columns are not read.
     """
     parsed = with_parts(pages, rules)
     urls = materialise(
@@ -206,10 +207,16 @@ def filter_urls(pages: DataFrame, rules: Sequence[UrlRule] = RULES, order: int =
     places = urls.filter(~decided | held).select(
         "url", "ruled", F.length("url").alias("n"), F.explode(windows(F.col("url"), order)).alias("w")
     )
-    diffs = materialise(window_scores(places.select("w").distinct(), grams, contexts), "url-windows")
-    # A window may stand in every URL; the side with the places is the one that can be split.
+    seen = materialise(places.groupBy("w").agg(F.count("*").alias("_n")), "url-places")
+    diffs = materialise(window_scores(seen.select("w"), grams, contexts), "url-windows")
+    # A window like that of `https://` may stand in every URL: those with more than one part in HEAVY of
+    # all places, at most HEAVY of them, go to all tasks, and only the others are joined by shuffle.
+    total = seen.agg(F.sum("_n")).first()[0] or 0
+    heavy = diffs.join(seen.filter(F.col("_n") > total / HEAVY).select("w"), "w", "left_semi")
+    marked = places.join(F.broadcast(heavy), "w", "left")
+    rest = marked.filter(F.col("diff").isNull()).drop("diff").join(diffs, "w")
     scored = materialise(
-        places.join(diffs, "w")
+        marked.filter(F.col("diff").isNotNull()).unionByName(rest)
         .groupBy("url", "ruled", "n")
         .agg(F.sum("diff").alias("_sum"))
         .select("url", "ruled", (F.col("_sum") / F.col("n")).alias("score")),

@@ -162,3 +162,60 @@ def classes(prints, max_bits):
             a, b = sorted((find(i), find(int(j))))
             parent[b] = a
     return [find(i) for i in range(len(prints))]
+
+
+def urls(pages, parse, order=5, alphabet=256, hold_out=5, bins=20_000):
+    """url -> (score, threshold) of the URLs that no rule decides; ``parse`` gives (host, path, rule, verdict)."""
+    from xxhash import xxh64_intdigest
+
+    def held(url):
+        h = xxh64_intdigest(url.encode(), 42)
+        return (h - 2**64 if h >= 2**63 else h) % hold_out == 0
+
+    distinct = {u for u in pages if u}
+    ruled = {u: parse(u)[3] for u in distinct}
+    counts = {"allow": {}, "block": {}}
+    for u in distinct:
+        if ruled[u] and not held(u):
+            for i in range(len(u)):
+                for n in range(1, min(order, i + 1) + 1):
+                    gram = u[i + 1 - n : i + 1]
+                    counts[ruled[u]][gram] = counts[ruled[u]].get(gram, 0) + 1
+    if not all(counts.values()):
+        return {u: (0.0, 0.0) for u in distinct}
+    totals = {}
+    for kind, grams in counts.items():
+        for gram, n in grams.items():
+            total, types = totals.get((kind, gram[:-1]), (0, 0))
+            totals[kind, gram[:-1]] = total + n, types + 1
+
+    def likelihood(kind, window):
+        p = 1 / alphabet
+        for n in range(1, len(window) + 1):
+            gram = window[-n:]
+            total, types = totals.get((kind, gram[:-1]), (0, 0))
+            if total:
+                p = (counts[kind].get(gram, 0) + types * p) / (total + types)
+        return np.log(p)
+
+    def score(u):
+        ends = [u[max(0, i + 1 - order) : i + 1] for i in range(len(u))]
+        return sum(likelihood("allow", w) - likelihood("block", w) for w in ends) / len(u)
+
+    kept = sorted((score(u), ruled[u]) for u in distinct if ruled[u] and held(u))
+    threshold = 0.0
+    if {r for _, r in kept} == {"allow", "block"}:
+        step = (kept[-1][0] - kept[0][0]) / bins or 1.0
+        groups = {}
+        for s, r in kept:
+            groups.setdefault(int((s - kept[0][0]) // step), []).append((s, r))
+        good, bad = (sum(r == kind for _, r in kept) for kind in ("allow", "block"))
+        best, before, passed = -1.0, None, {"allow": 0, "block": 0}
+        for _, group in sorted(groups.items()):
+            right = (good - passed["allow"]) / good + passed["block"] / bad
+            if right > best:
+                best, threshold = right, group[0][0] if before is None else (before + group[0][0]) / 2
+            before = group[-1][0]
+            for _, r in group:
+                passed[r] += 1
+    return {u: (score(u), threshold) for u in distinct if not ruled[u]}
