@@ -6,22 +6,40 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from salesmart.session import materialise
+
 EXAMPLES = 10
 
+# Repeated hashes sent to all tasks: at most 8 MB.
+SENT = 1 << 20
+
+
+def hash_groups(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``_h, n``: the hashes of eight bytes that several rows share, and their rows; written.
+
+    The rows with a hash of their own, which are unique, are one group without a hash.
+    """
+    per_hash = df.groupBy(F.xxhash64(*columns).alias("_h")).agg(F.count("*").alias("n"))
+    grouped = per_hash.groupBy(F.when(F.col("n") > 1, F.col("_h")).alias("_h")).agg(F.sum("n").alias("n"))
+    return materialise(grouped, "row-hashes")
+
 
-def duplicate_groups(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def duplicate_groups(df: DataFrame, columns: Sequence[str], hashes: DataFrame | None = None) -> DataFrame:
     """Values of ``columns`` that occur more than once, with ``n``; NULL equals NULL.
 
-    Rows are first grouped by a hash of eight bytes. A row whose hash occurs once is unique,
-    so only rows with a repeated hash are compared in full. The join that picks them shuffles
-    the wide rows unless the repeated hashes are few enough for the planner to broadcast; one
-    grouping by all columns has no join, but took twice as long.
+    Rows are first grouped by their hash, and the repeated hashes are stored, so that their number
+    is known. Up to ``SENT`` of them go to all tasks as a filter, and only rows with a repeated hash
+    are shuffled and compared in full. Beyond that all rows meet the hashes in a join. ``df`` is
+    evaluated twice.
     """
     columns = list(columns)
-    hashed = df.select(*columns, F.xxhash64(*columns).alias("_h"))
-    repeated = hashed.groupBy("_h").agg(F.count("*").alias("_n")).filter("_n > 1").select("_h")
+    hashes = hash_groups(df, columns) if hashes is None else hashes
+    repeated = hashes.filter("_h IS NOT NULL").select("_h")
+    if repeated.count() <= SENT:
+        repeated = F.broadcast(repeated)
     return (
-        hashed.join(repeated, "_h", "left_semi")
+        df.select(*columns, F.xxhash64(*columns).alias("_h"))
+        .join(repeated, "_h", "left_semi")
         .groupBy(*columns)
         .agg(F.count("*").alias("n"))
         .filter("n > 1")
@@ -30,25 +48,12 @@ def duplicate_groups(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def duplicate_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Number and share of rows that repeat an earlier one in all ``columns``."""
-    columns = list(columns)
-    hashed = df.select(*columns, F.xxhash64(*columns).alias("_h"))
-    per_hash = hashed.groupBy("_h").agg(F.count("*").alias("_n"))
-    # Rows with a hash of their own count once; the others are compared in full.
-    single = per_hash.agg(
-        F.sum("_n").alias("n_rows"), F.count_if(F.col("_n") == 1).alias("n_distinct")
-    )
-    compared = (
-        hashed.join(per_hash.filter("_n > 1").select("_h"), "_h", "left_semi")
-        .groupBy(*columns)
-        .agg(F.count("*").alias("n"))
-        .agg(F.lit(0).cast("bigint").alias("n_rows"), F.count("*").alias("n_distinct"))
-    )
-    return _excess(
-        single.unionByName(compared).agg(
-            F.sum("n_rows").alias("n_rows"),
-            (F.sum("n_rows") - F.sum("n_distinct")).alias("n_excess"),
-        )
+    hashes = hash_groups(df, columns)
+    excess = duplicate_groups(df, columns, hashes).agg(
+        F.lit(0).cast("bigint").alias("n_rows"), F.sum(F.col("n") - 1).alias("n_excess")
     )
+    rows = hashes.agg(F.sum("n").alias("n_rows"), F.lit(0).cast("bigint").alias("n_excess"))
+    return _excess(rows.unionByName(excess).agg(F.sum("n_rows").alias("n_rows"), F.sum("n_excess").alias("n_excess")))
 
 
 def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:

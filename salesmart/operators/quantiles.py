@@ -3,8 +3,11 @@
 A value is found by narrowing a bracket. Every pass counts the rows of each bracket in at most
 ``FANOUT`` equal slices (counted on the map side) and keeps the slice that holds the wanted
 rank, until a slice is one value wide. No pass shuffles rows, and no task ever sees more than
-``FANOUT`` counters per bracket, whatever the distribution. 64-bit values take four passes,
-prices and small ids one or two.
+``FANOUT`` counters per bracket, whatever the distribution.
+
+The first bracket is all values, or one that a sketch proposes. A proposed bracket holds only a small
+part of the rows, and usually so few values that one pass is enough; the number of rows below it is
+counted, and a rank that is not in it after all is looked for among all values.
 """
 
 from __future__ import annotations
@@ -19,83 +22,98 @@ from salesmart.session import materialise
 FANOUT = 1 << 16
 
 
+Bracket = tuple[int, int]
+
+
 @dataclass(frozen=True)
 class _Search:
-    """Looks for one rank of one column: ``skip`` rows into the values from ``lo`` on."""
+    """Looks for one rank of one column: ``skip`` rows into the values from ``lo`` to ``hi``."""
 
     ord: int
     rank: int
     skip: int
     lo: int
-    width: int
+    hi: int
+
+    @property
+    def width(self) -> int:
+        return -(-(self.hi - self.lo + 1) // FANOUT)
 
 
 def order_statistics(
     values_of: Callable[[Iterable[int]], DataFrame],
-    spans: Mapping[int, tuple[int, int]],
+    spans: Mapping[int, Bracket],
     ranks: Iterable[tuple[int, int]],
+    guesses: Mapping[tuple[int, int], Bracket] | None = None,
+    below: Callable[[Iterable[tuple[int, int]]], Mapping[tuple[int, int], int]] | None = None,
 ) -> dict[tuple[int, int], int]:
     """Values at 0-based ``ranks``, pairs of column number and rank.
 
     ``values_of`` gives the rows ``(ord, v)`` of the columns asked for, ``v`` a bigint that is
-    not NULL; ``spans`` are the smallest and largest value per column number. A pass brings one
-    row per rank to the driver, and columns that are done are not read again.
+    not NULL; ``spans`` are the smallest and largest value per column number. ``guesses`` are
+    brackets that probably hold a rank; ``below`` then counts a column's values below others. A
+    pass brings one row per rank to the driver, and columns that are done are not read again.
     """
-    open_ = [
-        _Search(ord_, rank, rank, spans[ord_][0], -(-(spans[ord_][1] - spans[ord_][0] + 1) // FANOUT))
-        for ord_, rank in sorted(set(ranks))
-    ]
+    wanted = sorted(set(ranks))
+    guesses = guesses or {}
+    before = below({(ord_, guesses[ord_, rank][0]) for ord_, rank in wanted if (ord_, rank) in guesses}) if below and guesses else {}
+
+    def first(ord_: int, rank: int) -> _Search:
+        lo, hi = guesses.get((ord_, rank), spans[ord_])
+        skip = rank - before[ord_, lo] if (ord_, rank) in guesses else rank
+        return _Search(ord_, rank, skip, lo, hi) if skip >= 0 else _Search(ord_, rank, rank, *spans[ord_])
+
+    open_ = [first(*w) for w in wanted]
     found: dict[tuple[int, int], int] = {}
     while open_:
         following = []
-        for search, slot, below in _pass(values_of({s.ord for s in open_}), open_):
+        held = _pass(values_of({s.ord for s in open_}), open_)
+        for search in open_:
+            if search not in held:  # beyond the guessed bracket
+                following.append(_Search(search.ord, search.rank, search.rank, *spans[search.ord]))
+                continue
+            slot, less = held[search]
             lo = search.lo + slot * search.width
             if search.width == 1:
                 found[search.ord, search.rank] = lo
             else:
-                narrower = -(-search.width // FANOUT)
-                following.append(
-                    _Search(search.ord, search.rank, search.skip - below, lo, narrower)
-                )
+                hi = min(search.hi, lo + search.width - 1)
+                following.append(_Search(search.ord, search.rank, search.skip - less, lo, hi))
         open_ = following
     return found
 
 
-def _pass(values: DataFrame, searches: list[_Search]) -> list[tuple[_Search, int, int]]:
+def _pass(values: DataFrame, searches: list[_Search]) -> dict[_Search, tuple[int, int]]:
     """Per search the slice that holds its rank, and the number of bracket rows before it."""
     spark = values.sparkSession
     brackets = spark.createDataFrame(
-        sorted({(s.ord, s.lo, s.width) for s in searches}), "ord int, lo long, width long"
+        sorted({(s.ord, s.lo, s.hi, s.width) for s in searches}), "ord int, lo long, hi long, width long"
     )
     targets = spark.createDataFrame(
-        [(s.ord, s.lo, s.rank, s.skip) for s in searches], "ord int, lo long, rnk long, skip long"
+        [(s.ord, s.lo, s.hi, s.rank, s.skip) for s in searches], "ord int, lo long, hi long, rnk long, skip long"
     )
-    # Both local frames have a row per search at most.
+    # The difference of two bigints may need one more bit.
+    long = any(s.hi - s.lo >= 1 << 63 for s in searches)
+    slot = "(CAST(v AS DECIMAL(20,0)) - lo) div width" if long else "(v - lo) div width"
+    # Both local frames have a row per search at most. Few rows pass a narrow bracket.
     counted = (
-        values.join(F.broadcast(brackets), "ord")
-        # The difference of two bigints may need one more bit.
-        .selectExpr(
-            "ord", "lo",
-            "CASE WHEN v >= lo THEN coalesce(try_subtract(v, lo) div width, "
-            "(CAST(v AS DECIMAL(20,0)) - lo) div width) END AS slot",
-        )
-        # A slot of 2^63 or more, far beyond the bracket, shows as negative.
-        .filter((F.col("slot") >= 0) & (F.col("slot") < FANOUT))
-        .groupBy("ord", "lo", "slot")
+        values.join(F.broadcast(brackets), (values["ord"] == brackets["ord"]) & values["v"].between(brackets["lo"], brackets["hi"]))
+        .select(brackets["ord"], "lo", "hi", F.expr(slot).cast("long").alias("slot"))
+        .groupBy("ord", "lo", "hi", "slot")
         .agg(F.count("*").alias("n"))
     )
-    up_to = Window.partitionBy("ord", "lo").orderBy("slot").rowsBetween(
+    up_to = Window.partitionBy("ord", "lo", "hi").orderBy("slot").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     held = (
         counted.withColumn("below", F.sum("n").over(up_to) - F.col("n"))
-        .join(F.broadcast(targets), ["ord", "lo"])
+        .join(F.broadcast(targets), ["ord", "lo", "hi"])
         .filter("skip >= below and skip < below + n")
         .select("ord", "rnk", "slot", "below")
         .collect()
     )
     by_rank = {(s.ord, s.rank): s for s in searches}
-    return [(by_rank[r.ord, r.rnk], r.slot, r.below) for r in held]
+    return {by_rank[r.ord, r.rnk]: (r.slot, r.below) for r in held}
 
 
 def sorted_values(values: DataFrame, ranks: Iterable[int]) -> dict[int, object]:

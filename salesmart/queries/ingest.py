@@ -252,19 +252,45 @@ def load_statuses(spark, sf_dir):
     return load_status(counts, days)
 
 
-_TYPES = {
-    "sale_date": "date", "item_id": "bigint", "sale_id": "bigint", "product_id": "int",
-    "quantity": "int", "original_price": "decimal(12,2)", "unit_price": "decimal(12,2)",
-    "discount_applied": "decimal(12,2)", "discount_percent": "string", "discounted": "string",
-    "item_total": "decimal(12,2)", "total_amount": "decimal(12,2)",
-    "catalog_price": "decimal(12,2)", "cost_price": "decimal(12,2)", "customer_id": "bigint",
-    "signup_date": "date",
-}
-
-
-@query("type_mapping", with_(FLAT, "\nUNION ALL ".join(
-    f"SELECT CAST({i} AS INTEGER) AS ord, '{c}' AS column_name, '{_TYPES.get(c, 'string')}' AS source_type, "
-    f"'{RECOMMENDED_SQL_TYPE[c]}' AS sql_type, count({c}) AS n_non_null FROM flat"
-    for i, c in enumerate(RAW_NAMES))))
+
+
+# Type of every raw column as read, and the SQL type recommended for it.
+_MAPPING = """(VALUES
+  (0, 'sale_date', 'date', 'DATE'),
+  (1, 'item_id', 'bigint', 'INTEGER'),
+  (2, 'sale_id', 'bigint', 'INTEGER'),
+  (3, 'product_id', 'int', 'INTEGER'),
+  (4, 'quantity', 'int', 'INTEGER'),
+  (5, 'original_price', 'decimal(12,2)', 'NUMERIC(10,2)'),
+  (6, 'unit_price', 'decimal(12,2)', 'NUMERIC(10,2)'),
+  (7, 'discount_applied', 'decimal(12,2)', 'NUMERIC(10,2)'),
+  (8, 'discount_percent', 'string', 'NUMERIC(5,4)'),
+  (9, 'discounted', 'string', 'BOOLEAN'),
+  (10, 'item_total', 'decimal(12,2)', 'NUMERIC(10,2)'),
+  (11, 'channel', 'string', 'VARCHAR(50)'),
+  (12, 'channel_campaigns', 'string', 'VARCHAR(100)'),
+  (13, 'total_amount', 'decimal(12,2)', 'NUMERIC(12,2)'),
+  (14, 'product_name', 'string', 'VARCHAR(255)'),
+  (15, 'category', 'string', 'VARCHAR(100)'),
+  (16, 'brand', 'string', 'VARCHAR(100)'),
+  (17, 'color', 'string', 'VARCHAR(50)'),
+  (18, 'size', 'string', 'VARCHAR(20)'),
+  (19, 'catalog_price', 'decimal(12,2)', 'NUMERIC(10,2)'),
+  (20, 'cost_price', 'decimal(12,2)', 'NUMERIC(10,2)'),
+  (21, 'customer_id', 'bigint', 'INTEGER'),
+  (22, 'gender', 'string', 'VARCHAR(10)'),
+  (23, 'age_range', 'string', 'VARCHAR(20)'),
+  (24, 'signup_date', 'date', 'DATE'),
+  (25, 'first_name', 'string', 'VARCHAR(100)'),
+  (26, 'last_name', 'string', 'VARCHAR(100)'),
+  (27, 'email', 'string', 'VARCHAR(255)'),
+  (28, 'country', 'string', 'VARCHAR(100)')
+) m(ord, column_name, source_type, sql_type)"""
+
+
+@query("type_mapping", with_(FLAT + ", fill AS (SELECT unnest(['" + "', '".join(RAW.split(", ")) + "']) AS column_name, unnest(["
+                             + ", ".join(f"count({c})" for c in RAW.split(", ")) + "]) AS n_non_null FROM flat)", f"""
+SELECT CAST(ord AS INTEGER) AS ord, column_name, source_type, sql_type, n_non_null
+FROM {_MAPPING} JOIN fill USING (column_name)"""))
 def type_mappings(spark, sf_dir):
     return type_mapping(flat_sales(spark, sf_dir).select(RAW_NAMES), RECOMMENDED_SQL_TYPE)

@@ -13,14 +13,14 @@ from salesmart.operators.merge import (
 from salesmart.plans.clean import clean_rows
 from salesmart.plans.daily_load import daily_load
 from salesmart.plans.entities import all_entities, calendar_rows, conform, entity_rows
-from salesmart.plans.views import orders_with_total, sales_lines
+from salesmart.plans.views import orders_with_stored_total, orders_with_total, sales_lines
 from salesmart.plans.warehouse import Warehouse
 from salesmart.queries import query
 from salesmart.queries.sql import (
-    BATCHES, CHANGED, FIRST_TS, FLAG, FLAT, PERCENT, SECOND_TS, TOTAL, UPSERTED_DATES, calendar, clean, entity, upserted, with_,
+    BATCHES, CHANGED, DICTIONARY_COLUMNS, FIRST_TS, FLAG, FLAT, PERCENT, SECOND_TS, TOTAL, UPSERTED_DATES, calendar, clean, entity, upserted, with_,
 )
 from salesmart.schemas import (
-    COLUMN_COMMENTS, CUSTOMERS, DIM_DATES, ORDER_ITEMS, ORDERS, PRODUCTS, TABLES,
+    CUSTOMERS, DIM_DATES, ORDER_ITEMS, ORDERS, PRODUCTS, SCHEMA_COMMENT, TABLES,
 )
 from salesmart.session import materialise, scratch_path
 from salesmart.sources.testtables import (
@@ -131,12 +131,60 @@ def upsert_generic(spark, sf_dir):
     )
 
 
-@query("data_dictionary", with_(FLAT + ", " + clean("flat"), "\nUNION ALL ".join(
-    f"SELECT '{name}' AS table_name, '{tab.comment}' AS table_comment, "
-    f"CAST({i} AS INTEGER) AS position, '{c}' AS column_name, '{dtype.simpleString()}' AS data_type, "
-    f"'{COLUMN_COMMENTS[c]}' AS column_comment, count({c}) AS n_non_null "
+# What the dictionary says of every column.
+_DICTIONARY = """(VALUES
+  ('dim_dates', 'Calendar dimension, one row per day seen in the sales', 0, 'date_id', 'int', 'calendar day as an integer yyyymmdd'),
+  ('dim_dates', 'Calendar dimension, one row per day seen in the sales', 1, 'full_date', 'date', 'calendar day'),
+  ('dim_dates', 'Calendar dimension, one row per day seen in the sales', 2, 'year', 'smallint', 'calendar year'),
+  ('dim_dates', 'Calendar dimension, one row per day seen in the sales', 3, 'month', 'smallint', 'month of the year, 1 to 12'),
+  ('dim_dates', 'Calendar dimension, one row per day seen in the sales', 4, 'day', 'smallint', 'day of the month'),
+  ('dim_dates', 'Calendar dimension, one row per day seen in the sales', 5, 'day_of_week', 'string', 'English weekday name'),
+  ('dim_dates', 'Calendar dimension, one row per day seen in the sales', 6, 'week_number', 'smallint', 'ISO week number'),
+  ('dim_dates', 'Calendar dimension, one row per day seen in the sales', 7, 'quarter', 'smallint', 'quarter of the year, 1 to 4'),
+  ('dim_dates', 'Calendar dimension, one row per day seen in the sales', 8, 'is_weekend', 'boolean', 'Saturday or Sunday'),
+  ('dim_dates', 'Calendar dimension, one row per day seen in the sales', 9, 'is_holiday', 'boolean', 'public holiday, false until enriched'),
+  ('customers', 'One row per customer', 0, 'customer_id', 'bigint', 'customer identifier'),
+  ('customers', 'One row per customer', 1, 'first_name', 'string', 'first name'),
+  ('customers', 'One row per customer', 2, 'last_name', 'string', 'last name'),
+  ('customers', 'One row per customer', 3, 'email', 'string', 'e-mail address, unique over customers'),
+  ('customers', 'One row per customer', 4, 'gender', 'string', 'declared gender'),
+  ('customers', 'One row per customer', 5, 'age_range', 'string', 'age bracket'),
+  ('customers', 'One row per customer', 6, 'signup_date', 'date', 'day the customer signed up'),
+  ('customers', 'One row per customer', 7, 'country', 'string', 'country of the customer'),
+  ('products', 'One row per catalogue product', 0, 'product_id', 'int', 'product identifier'),
+  ('products', 'One row per catalogue product', 1, 'product_name', 'string', 'product name'),
+  ('products', 'One row per catalogue product', 2, 'category', 'string', 'product category'),
+  ('products', 'One row per catalogue product', 3, 'brand', 'string', 'product brand'),
+  ('products', 'One row per catalogue product', 4, 'color', 'string', 'product colour'),
+  ('products', 'One row per catalogue product', 5, 'size', 'string', 'product size'),
+  ('products', 'One row per catalogue product', 6, 'catalog_price', 'decimal(12,2)', 'list price'),
+  ('products', 'One row per catalogue product', 7, 'cost_price', 'decimal(12,2)', 'cost price, at most the list price'),
+  ('orders', 'One row per order', 0, 'sale_id', 'bigint', 'order identifier'),
+  ('orders', 'One row per order', 1, 'sale_date', 'date', 'day of the order'),
+  ('orders', 'One row per order', 2, 'date_id', 'int', 'calendar day as an integer yyyymmdd'),
+  ('orders', 'One row per order', 3, 'customer_id', 'bigint', 'customer identifier'),
+  ('orders', 'One row per order', 4, 'channel', 'string', 'sales channel'),
+  ('orders', 'One row per order', 5, 'channel_campaigns', 'string', 'campaign of the channel'),
+  ('order_items', 'One row per order line, the fact table', 0, 'item_id', 'bigint', 'order line identifier'),
+  ('order_items', 'One row per order line, the fact table', 1, 'sale_id', 'bigint', 'order identifier'),
+  ('order_items', 'One row per order line, the fact table', 2, 'product_id', 'int', 'product identifier'),
+  ('order_items', 'One row per order line, the fact table', 3, 'quantity', 'int', 'units sold'),
+  ('order_items', 'One row per order line, the fact table', 4, 'original_price', 'decimal(12,2)', 'unit price before discount'),
+  ('order_items', 'One row per order line, the fact table', 5, 'unit_price', 'decimal(12,2)', 'unit price paid'),
+  ('order_items', 'One row per order line, the fact table', 6, 'discount_applied', 'decimal(12,2)', 'discount amount per unit'),
+  ('order_items', 'One row per order line, the fact table', 7, 'discount_percent', 'decimal(5,2)', 'discount in percent, 0 to 100'),
+  ('order_items', 'One row per order line, the fact table', 8, 'discounted', 'boolean', 'whether a discount was applied')
+) d(table_name, table_comment, position, column_name, data_type, column_comment)"""
+
+
+@query("data_dictionary", with_(FLAT + ", " + clean("flat") + ", fill AS (" + " UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, unnest(['{"', '".join(columns)}']) AS column_name, "
+    f"unnest([{', '.join(f'count({c})' for c in columns)}]) AS n_non_null "
     f"FROM ({calendar('cleaned') if name == 'dim_dates' else entity(name, 'cleaned')})"
-    for name, tab in TABLES.items() for i, (c, dtype) in enumerate(tab.columns.items()))))
+    for name, columns in DICTIONARY_COLUMNS.items()) + ")", f"""
+SELECT 'Sales mart: normalised sales data of the shop' AS schema_comment, table_name, table_comment,
+       CAST(position AS INTEGER) AS position, column_name, data_type, column_comment, n_non_null
+FROM {_DICTIONARY} JOIN fill USING (table_name, column_name)"""))
 def data_dictionary(spark, sf_dir):
     """Every loaded column with its comment and fill."""
     entities = all_entities(clean_rows(flat_sales(spark, sf_dir)), FLAT_ORDER)
@@ -145,6 +193,7 @@ def data_dictionary(spark, sf_dir):
         fields = tab.schema.fields[: len(tab.columns)]
         cells = [
             F.struct(
+                F.lit(SCHEMA_COMMENT).alias("schema_comment"),
                 F.lit(name).alias("table_name"),
                 F.lit(tab.comment).alias("table_comment"),
                 F.lit(i).alias("position"),
@@ -197,6 +246,21 @@ def full_load(spark, sf_dir):
     return sales_lines(warehouse.tables())
 
 
+@query("maintained_totals", with_(_MERGED, """
+SELECT sale_id, sale_date, customer_id, channel,
+       CAST(coalesce(sum(item_total), 0) AS DECIMAL(18,2)) AS total_amount, count(item_id) AS n_items
+FROM sales LEFT JOIN order_items USING (sale_id) GROUP BY sale_id, sale_date, customer_id, channel"""))
+def maintained_totals(spark, sf_dir):
+    """Order totals kept up to date by two overlapping loads, without reading the items."""
+    warehouse, _, _ = _load_both(spark, sf_dir)
+    totals = warehouse.order_totals()
+    orders = warehouse.read("orders").select("sale_id", "sale_date", "customer_id", "channel")
+    n_items = totals.select("sale_id", "n_items")
+    return orders_with_stored_total(orders, totals).join(n_items, "sale_id", "left").withColumn(
+        "n_items", F.coalesce("n_items", F.lit(0).cast("long"))
+    )
+
+
 _CONTROL = {
     "dim_dates": "date_id", "customers": "customer_id", "products": "product_id",
     "orders": "sale_id", "order_items": "item_id",

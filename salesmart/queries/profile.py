@@ -8,6 +8,7 @@ from salesmart.operators import profile
 from salesmart.operators.duplicates import (
     duplicate_key_examples, duplicate_keys, duplicate_row_examples, duplicate_rows,
 )
+from salesmart.operators.sketches import merged_cardinality, period_sketches
 from salesmart.plans.clean import sale_day
 from salesmart.queries import query
 from salesmart.queries.sql import DAY, DIRTY, ORDER_DIRTY, RAW, with_
@@ -112,9 +113,38 @@ def cardinality(spark, sf_dir):
     return profile.cardinality(_raw(spark, sf_dir))
 
 
-@query("cardinality_approx")
+# SQL has no sketches; what it can say is that the estimate is within 5 % of the exact count.
+_CLOSE = "count(*) AS n_rows, count(DISTINCT {c}) AS n_distinct, true AS close"
+
+
+def _close(estimated, exact):
+    """Exact counts, and whether the estimates are close to them."""
+    exact = exact.select("ord", "n_distinct", "n_rows")
+    estimated = estimated.select("ord", "column_name", F.col("n_distinct").alias("_estimate"))
+    close = F.abs(F.col("_estimate") - F.col("n_distinct")) <= 0.05 * F.col("n_distinct")
+    return exact.join(estimated, "ord").select("ord", "column_name", "n_rows", "n_distinct", close.alias("close"))
+
+
+@query("cardinality_approx", with_(DIRTY, _per_column(_CLOSE)))
 def cardinality_approx(spark, sf_dir):
-    return profile.cardinality_approx(_raw(spark, sf_dir))
+    """Estimates of one pass, held against the exact counts."""
+    rows = materialise(_raw(spark, sf_dir), "raw")
+    return _close(profile.cardinality_approx(rows), profile.cardinality(rows))
+
+
+_HISTORY = ["item_id", "sale_id", "product_id", "quantity", "unit_price", "customer_id", "signup_date", "email", "first_name"]
+
+
+@query("cardinality_history", with_(DIRTY + f", years AS (SELECT * FROM dirty WHERE year({DAY}) IN (1995, 1997, 1998))",
+                                    _per_column(_CLOSE, _HISTORY, "years")))
+def cardinality_history(spark, sf_dir):
+    """Sketches per month, merged for three years, held against the exact counts."""
+    rows = dirty_sales(spark, sf_dir)
+    rows = rows.withColumn("_day", sale_day(rows)).filter("_day IS NOT NULL")
+    rows = materialise(rows.select(*_HISTORY, F.expr("year(_day) * 100 + month(_day)").alias("period")), "history")
+    sketches = materialise(period_sketches(rows, _HISTORY), "sketches")
+    years = F.expr("period div 100").isin(1995, 1997, 1998)
+    return _close(merged_cardinality(sketches.filter(years)), profile.cardinality(rows.filter(years).select(_HISTORY)))
 
 
 _NULLS = "count(*) FILTER (WHERE {c} IS NULL) AS n_null"

@@ -78,6 +78,7 @@ DIRTY = FLAT + """, dirty AS (
 ORDER_FLAT = "item_id, product_id, seq1, seq2"
 ORDER_DIRTY = "item_id, product_id, seq1, seq2, copy"
 
+# The columns of the raw file and of the tables, their keys, and the form of a number.
 RAW = (
     "sale_date, item_id, sale_id, product_id, quantity, original_price, unit_price, "
     "discount_applied, discount_percent, discounted, item_total, channel, channel_campaigns, "
@@ -93,6 +94,13 @@ COLUMNS = {
 }
 KEY = {"customers": "customer_id", "products": "product_id", "orders": "sale_id", "order_items": "item_id"}
 
+DICTIONARY_COLUMNS = {
+    "dim_dates": [
+        "date_id", "full_date", "year", "month", "day", "day_of_week", "week_number", "quarter", "is_weekend", "is_holiday",
+    ],
+    **{name: columns.split(", ") for name, columns in COLUMNS.items()},
+}
+
 NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 PERCENT = (
     "CASE WHEN regexp_matches(replace(discount_percent, '%', ''), '" + NUMBER + "') "

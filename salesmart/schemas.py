@@ -6,6 +6,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import types as T
 
+SCHEMA_COMMENT = "Sales mart: normalised sales data of the shop"
+
 PRICE = T.DecimalType(12, 2)
 PERCENT = T.DecimalType(5, 2)
 

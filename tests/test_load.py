@@ -382,6 +382,53 @@ def test_what_is_not_the_files_fault_fails_the_run(spark, warehouse, tmp_path, m
     assert [(r.item_id, r.created_at) for r in warehouse.read("order_items").collect()] == [(1, T1)]
 
 
+def test_history_is_counted_from_sketches(spark, tmp_path):
+    mart = Warehouse(spark, str(tmp_path / "mart"))
+    mart.bootstrap("month", buckets=2)
+    assert mart.cardinality("orders").count() == 0
+    lines = [{"item_id": str(i), "sale_id": str(i), "sale_date": f"2025-0{1 + i % 3}-10", "quantity": str(1 + i % 7)} for i in range(600)]
+    days = ["20250110", "20250210", "20250310"]
+    load(mart, write_csv(tmp_path / "a.csv", lines), days, T1)
+    again = [{**line, "quantity": "9"} for line in lines[::3]]  # January, all of it
+    load(mart, write_csv(tmp_path / "b.csv", again), days, T2)
+
+    def counts(*date_ids):
+        return {r.column_name: (r.n_rows, r.n_non_null, r.n_distinct) for r in mart.cardinality("order_items", date_ids or None).collect()}
+
+    every = counts()
+    assert every["quantity"] == (600, 600, 8) and every["product_id"] == (600, 600, 1)
+    assert every["item_id"][0] == 600 and abs(every["item_id"][2] - 600) <= 30
+    assert counts(20250110)["quantity"] == (200, 200, 1) and counts(20250210)["quantity"][2] == 7
+    assert all("/sketches/order_items/" in path for path in mart.cardinality("order_items").inputFiles())
+
+
+def test_totals_are_kept_up_to_date(spark, tmp_path, monkeypatch):
+    """Corrected, moved and new items over several loads, with runs summed in between."""
+    from salesmart.plans import warehouse as stored
+    from salesmart.plans.views import orders_with_stored_total, orders_with_total
+
+    monkeypatch.setattr(stored, "RUNS", 3)
+    mart = Warehouse(spark, str(tmp_path / "mart"))
+    mart.bootstrap("year", buckets=2)
+    assert mart.order_totals().count() == 0
+    first = [{"item_id": str(i), "sale_id": str(i // 2)} for i in range(12)]
+    changes = [
+        first,
+        [{**first[0], "quantity": "5"}, {"item_id": "20", "sale_id": "3"}],
+        [{**first[1], "sale_id": "9"}, {**first[2], "sale_id": "9"}, {**first[3], "sale_id": "9"}, {"item_id": "1", "sale_id": "0"}],
+        [{"item_id": "30", "sale_id": "30", "unit_price": "0.00", "discount_applied": "10.00"}],
+    ]
+    for n, lines in enumerate(changes):
+        load(mart, write_csv(tmp_path / f"{n}.csv", lines), "20250616", T1)
+        want = orders_with_total(mart.read("orders"), mart.read("order_items"))
+        got = orders_with_stored_total(mart.read("orders"), mart.order_totals())
+        assert sorted(map(tuple, got.select(want.columns).collect())) == sorted(map(tuple, want.collect()))
+        counts = {r.sale_id: r["count"] for r in mart.read("order_items").groupBy("sale_id").count().collect()}
+        assert {r.sale_id: r.n_items for r in mart.order_totals().collect()} == counts
+    assert len(mart.manifest().of("order_totals")) == 2
+    assert "Exchange" not in mart.order_totals()._jdf.queryExecution().executedPlan().toString()
+
+
 def test_a_load_needs_a_day(warehouse, tmp_path):
     raw = read_sales_csv(warehouse.spark, write_csv(tmp_path / "a.csv", [{}]))
     with pytest.raises(ValueError, match="no day"):

@@ -313,6 +313,24 @@ def test_duplicates_against_pandas(spark):
     assert [tuple(r) for r in duplicates.duplicate_key_examples(df, ["a", "b"], []).collect()] == want
 
 
+def test_unique_rows_are_not_shuffled_whole(spark):
+    df = spark.range(1000).select((F.col("id") % 990).alias("a"), F.repeat(F.lit("x"), 100).alias("b"))
+    groups = duplicates.duplicate_groups(df, ["a", "b"])
+    plan = groups._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and plan.count("hashpartitioning") == 1
+    assert groups.count() == 10
+
+
+def test_quartiles_that_a_sketch_misses(spark):
+    """Wrong brackets are noticed by their counts."""
+    values = spark.createDataFrame([(0, v) for v in range(100)], "ord int, v long")
+    guesses = {(0, 10): (20, 30), (0, 50): (40, 60), (0, 90): (70, 80), (0, 0): (0, 0)}
+    found = quantiles.order_statistics(
+        lambda wanted: values, {0: (0, 99)}, list(guesses), guesses, lambda limits: {(i, v): v for i, v in limits}
+    )
+    assert found == {(0, r): r for r in (0, 10, 50, 90)}
+
+
 def test_no_duplicates(spark):
     df = spark.createDataFrame([(1, "a"), (2, "a")], "a int, b string")
     assert tuple(duplicates.duplicate_rows(df, ["a", "b"]).first()) == (2, 0, 0.0)
