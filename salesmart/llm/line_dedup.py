@@ -69,8 +69,9 @@ class LineRuns:
         return read_bucketed(self.spark, f"{self.root}/{name}", RUN, "key", self.buckets)
 
     def read(self) -> DataFrame | None:
-        runs = [self._read(name) for level in self.levels for name in level]
-        return reduce(DataFrame.unionByName, runs) if runs else None
+        """All runs as one table, not known to be bucketed: a union of them would not reliably be."""
+        paths = [f"{self.root}/{name}" for level in self.levels for name in level]
+        return self.spark.read.schema(RUN).parquet(*paths) if paths else None
 
     def add(self, batch: DataFrame) -> None:
         """Add the keys of ``batch`` (key, keeper; unique) that no run has, as a new run."""
@@ -87,6 +88,7 @@ class LineRuns:
         for level in range(len(self.levels)):
             if len(self.levels[level]) >= self.fanout:
                 full, self.levels[level] = self.levels[level], []
+                # Written as the rows lie; a row's bucket follows from its key, whoever writes it.
                 self._write(level + 1, reduce(DataFrame.unionByName, map(self._read, full)))
                 self._commit()
 
