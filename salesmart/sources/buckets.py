@@ -4,6 +4,10 @@ Rows of one key lie in the files of one bucket, so a join, an aggregate or a fur
 by that key reads them without a shuffle. Spark keeps the layout of bucketed tables in a catalog.
 Here it is known from elsewhere (a manifest, a parameter), so tables are declared over directories
 for the session that reads them, and forgotten without touching a file.
+
+Aggregate or join such tables by their key one by one, or declare several directories as partitions
+of one table. Not over a union of them: Spark 4.1 takes a union of bucketed tables for bucketed, leaves
+out the shuffle, and then may read the parts by size after all, so that rows of a key stay apart.
 """
 
 from __future__ import annotations

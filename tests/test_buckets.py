@@ -23,7 +23,7 @@ def test_join_reads_buckets_without_a_shuffle(spark, tmp_path):
     joined = stored.join(other.hint("merge"), "k", "left_anti")
     assert plan(joined).count("Exchange hashpartitioning") == 1  # the other side's
     assert joined.count() == 500
-    assert "Exchange" not in plan(stored.unionByName(stored).groupBy("k").count())
+    assert "Exchange" not in plan(stored.groupBy("k").count())
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("salesmart_")]
 
 
@@ -37,6 +37,12 @@ def test_partitions_of_several_writes(spark, tmp_path):
     table = BucketedPartitions(spark, str(tmp_path), schema, "k", 4, "p", places)
     found = {(r.p, r.t): r["count"] for r in table.read().groupBy("p", "t").count().collect()}
     assert found == {(0, "it's"): 334, (1, "new"): 333}
+    every = table.read().unionByName(table.read()).drop("p")
+    write_bucketed(every, str(tmp_path / "v3"), "k", 4)
+    written = read_bucketed(spark, str(tmp_path / "v3"), every.schema, "k", 4).groupBy("k").count()
+    assert "Exchange" not in plan(written) and {r["count"] for r in written.collect()} == {2}
+    by_key = table.read().groupBy("k").count()
+    assert "Exchange" not in plan(by_key) and by_key.count() == 667
     other = spark.range(10).withColumnRenamed("id", "k")
     assert plan(table.read().join(other.hint("merge"), "k", "left_semi")).count("Exchange hashpartitioning") == 1
     table.forget()
