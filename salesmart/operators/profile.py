@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -225,8 +226,14 @@ def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
         counts = df.agg(*[F.count_if(longs[i] < F.lit(v)).alias(f"n{at}") for at, (i, v) in enumerate(limits)]).first()
         return dict(zip(limits, counts))
 
+    def inside(wanted: Mapping[int, set[tuple[int, int]]]) -> DataFrame:
+        """The values in the brackets asked for; most rows have none in a narrow bracket."""
+        held = {i: reduce(Column.__or__, [longs[i].between(lo, hi) for lo, hi in sorted(wanted[i])]) for i in sorted(wanted)}
+        rows = df.filter(reduce(Column.__or__, held.values()))
+        return _unpivot(rows, {i: F.when(held[i], longs[i]) for i in held})
+
     values = order_statistics(
-        lambda wanted: _unpivot(df, {i: longs[i] for i in sorted(wanted)}),
+        inside,
         {f.ord: (f.lo, f.hi) for f in exact},
         [(f.ord, rank) for f in exact for q in QUARTILES for rank in _around(f.n, q)],
         {

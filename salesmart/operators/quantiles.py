@@ -41,7 +41,7 @@ class _Search:
 
 
 def order_statistics(
-    values_of: Callable[[Iterable[int]], DataFrame],
+    values_of: Callable[[Mapping[int, set[Bracket]]], DataFrame],
     spans: Mapping[int, Bracket],
     ranks: Iterable[tuple[int, int]],
     guesses: Mapping[tuple[int, int], Bracket] | None = None,
@@ -50,7 +50,7 @@ def order_statistics(
     """Values at 0-based ``ranks``, pairs of column number and rank.
 
     ``values_of`` gives the rows ``(ord, v)`` of the columns asked for, ``v`` a bigint that is
-    not NULL; ``spans`` are the smallest and largest value per column number. ``guesses`` are
+    not NULL; it may leave out values beyond the brackets it is told of each column; ``spans`` are the smallest and largest value per column number. ``guesses`` are
     brackets that probably hold a rank; ``below`` then counts a column's values below others. A
     pass brings one row per rank to the driver, and columns that are done are not read again.
     """
@@ -67,7 +67,8 @@ def order_statistics(
     found: dict[tuple[int, int], int] = {}
     while open_:
         following = []
-        held = _pass(values_of({s.ord for s in open_}), open_)
+        wanted_now = {s.ord: {(t.lo, t.hi) for t in open_ if t.ord == s.ord} for s in open_}
+        held = _pass(values_of(wanted_now), open_)
         for search in open_:
             if search not in held:  # beyond the guessed bracket
                 following.append(_Search(search.ord, search.rank, search.rank, *spans[search.ord]))
