@@ -28,7 +28,7 @@ from salesmart.queries.sql import (
 from salesmart.operators.merge import upsert, with_stamps
 from salesmart.schemas import CUSTOMERS, DIM_DATES, ORDER_ITEMS, PRODUCTS, TABLES
 from salesmart.sources.testtables import (
-    DIRTY_ORDER, FLAT_ORDER, batch_rows, dirty_sales, flat_sales, target_rows,
+    DIRTY_ORDER, FLAT_ORDER, batch_rows, by_key, dirty_sales, flat_sales, target_rows,
 )
 
 # --- the dirty file as one batch ----------------------------------------------------------------
@@ -36,7 +36,7 @@ from salesmart.sources.testtables import (
 
 def _dirty_batch(spark, sf_dir, tab) -> DataFrame:
     """Rows of ``tab`` that are checked: the chosen row per key, for items every row."""
-    df = dirty_sales(spark, sf_dir)
+    df = dirty_sales(spark, sf_dir, by_key(tab))
     rows = clean_rows(df.withColumn("sale_date", sale_day(df)))
     if tab is ORDER_ITEMS:
         return rows.select(*tab.column_names)
