@@ -32,6 +32,7 @@ from salesmart.sources.staging import preview, read_staged, stage_filtered, stag
 from salesmart.sources.testtables import FLAT_ORDER, dirty_sales, flat_sales
 
 RUN_DAY = "19970823"
+CSV_RECORDS = 1 << 18
 
 
 # In a CSV file the text n/a means a missing value, and a price beyond its type is lost when typed.
@@ -42,7 +43,9 @@ SELECT * REPLACE (nullif(discount_percent, 'n/a') AS discount_percent,
 FROM (SELECT {RAW} FROM dirty)"""))
 def csv_scan(spark, sf_dir):
     path = scratch_path(spark, "csv")
-    dirty_sales(spark, sf_dir).select(RAW_NAMES).write.option("header", True).csv(path)
+    # Compressed files are read whole, so each holds a bounded number of records.
+    files = dirty_sales(spark, sf_dir).select(RAW_NAMES).write.option("maxRecordsPerFile", CSV_RECORDS)
+    files.option("header", True).option("compression", "gzip").csv(path)
     return typed_columns(read_sales_csv(spark, path)).select(RAW_NAMES)
 
 

@@ -71,3 +71,8 @@ def test_chosen_keys_reach_the_scan_as_literals(spark):
     found = duplicates.duplicate_key_examples(df, ["a", "b"], ["v"])
     assert "Join" not in explained(found)
     assert [r.v for r in found.collect()] == [1, 2, 3, 4]
+
+
+def test_scanned_csv_files_are_compressed(spark):
+    files = entry_points.queries()["csv_scan"](spark, SF_DIR).inputFiles()
+    assert files and all(f.endswith(".csv.gz") for f in files)
