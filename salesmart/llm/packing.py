@@ -22,6 +22,7 @@ from unicodedata import normalize
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from salesmart.llm.common import python_tasks
@@ -94,13 +95,22 @@ class WordEncoder:
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
         if not self.by_words:
             return self._ids([(t or b"").decode() for t in texts])
-        words = [(t or b"").split() for t in texts]
+        # Each different word of a batch is looked up once; Arrow tells words apart and strings their ids together.
+        parts = pc.ascii_split_whitespace(pa.array([t or b"" for t in texts], pa.binary()).view(pa.string()))
+        coded = parts.flatten().dictionary_encode()
+        words = _listed(coded.dictionary)
         if len(self.words) > REMEMBERED:
             self.words = {}
-        fresh = list(set().union(*words) - self.words.keys())
-        if fresh:
-            self._learn(fresh)
-        return [b"".join(map(self.words.__getitem__, ws)) for ws in words]
+        found = list(map(self.words.get, words))
+        if None in found:
+            # Space around a text leaves empty words, which have no ids.
+            self.words[b""] = b""
+            self._learn([w for w, f in zip(words, found) if f is None and w])
+            found = [self.words[w] if f is None else f for w, f in zip(words, found)]
+        ids = pa.array(found, pa.large_binary()).take(coded.indices)
+        ends = np.frombuffer(ids.buffers()[1], np.int64, len(ids) + 1, 8 * ids.offset)[parts.offsets.to_numpy()].tolist()
+        data = memoryview(ids.buffers()[2] or b"")
+        return [bytes(data[a:b]) for a, b in zip(ends, ends[1:])]
 
     def forget(self) -> None:
         """Let go of what was learned: a worker outlives its task, and others need the memory."""
@@ -112,15 +122,18 @@ class WordEncoder:
         whole = normalize("NFC", raw).lower().split("\n") if "\u03a3" not in raw else [""] * len(fresh)
         stems = [w.rstrip(PUNCTUATION) for w in whole]
         self._learn_letters({s for s in stems if s.isalpha()})
-        odd = []
+        odd, learned, words = [], self.letters.get, self.words
         for word, full, stem in zip(fresh, whole, stems):
-            if stem.isalpha():
+            ids = learned(stem)
+            if ids is None:
+                odd.append(word)
+            elif len(full) == len(stem):
+                words[word] = ids
+            else:
                 ending = full[len(stem) :]
                 if ending not in self.endings:
                     self.endings[ending] = self._ids([ending])[0]
-                self.words[word] = self.letters[stem] + self.endings[ending]
-            else:
-                odd.append(word)
+                words[word] = ids + self.endings[ending]
         self.words.update(zip(odd, self._ids([w.decode() for w in odd])))
 
     def _learn_letters(self, wanted: set[str]) -> None:
@@ -138,10 +151,18 @@ class WordEncoder:
             self.letters[word] = _as_bytes([token.id for token in merge(letters)])
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [_as_bytes(f.ids) for f in found]
 
 
+def _listed(words: pa.Array) -> list[bytes]:
+    """``words``, which hold no line end, as a list: joined and split, since Arrow makes single values slowly."""
+    if not len(words):
+        return []
+    joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words), "\n")
+    return joined.view(pa.binary())[0].as_py().split(b"\n")
+
+
 _PACKERS = [struct.Struct(f"<{n}I").pack for n in range(32)]
 
 
