@@ -18,7 +18,7 @@ from salesmart.operators.quality import (
     warning_rules,
 )
 from salesmart.plans.clean import clean_rows, sale_day
-from salesmart.plans.entities import all_entities, conform, entity_rows
+from salesmart.plans.entities import HEADED, all_entities, conform, entity_rows, head_rows, headed_rows
 from salesmart.queries import query
 from salesmart.queries.load import FIRST, SECOND
 from salesmart.queries.sql import (
@@ -26,7 +26,8 @@ from salesmart.queries.sql import (
     with_,
 )
 from salesmart.operators.merge import upsert, with_stamps
-from salesmart.schemas import CUSTOMERS, DIM_DATES, ORDER_ITEMS, PRODUCTS, TABLES
+from salesmart.schemas import CUSTOMERS, DIM_DATES, ORDER_ITEMS, ORDERS, PRODUCTS, TABLES
+from salesmart.session import materialise
 from salesmart.sources.testtables import (
     DIRTY_ORDER, FLAT_ORDER, batch_rows, by_key, dirty_sales, flat_sales, target_rows,
 )
@@ -34,15 +35,34 @@ from salesmart.sources.testtables import (
 # --- the dirty file as one batch ----------------------------------------------------------------
 
 
+def _dirty_rows(spark, sf_dir, tab) -> DataFrame:
+    df = dirty_sales(spark, sf_dir, by_key(tab))
+    return clean_rows(df.withColumn("sale_date", sale_day(df)))
+
+
 def _dirty_batch(spark, sf_dir, tab) -> DataFrame:
     """Rows of ``tab`` that are checked: the chosen row per key, for items every row."""
-    df = dirty_sales(spark, sf_dir, by_key(tab))
-    rows = clean_rows(df.withColumn("sale_date", sale_day(df)))
+    rows = _dirty_rows(spark, sf_dir, tab)
     if tab is ORDER_ITEMS:
         return rows.select(*tab.column_names)
     return entity_rows(rows, tab, DIRTY_ORDER)
 
 
+def _dirty_batches(spark, sf_dir, columns) -> dict[str, DataFrame]:
+    """``_dirty_batch`` of the tables that ``columns`` has columns of, with these.
+
+    Dates, customers and orders come from one pass over the flat rows, which stores the few they are
+    chosen from.
+    """
+    headed = [tab for tab in HEADED if tab.name in columns]
+    batches = {name: _dirty_batch(spark, sf_dir, TABLES[name]) for name in columns if TABLES[name] not in headed}
+    if headed:
+        wanted = [c for tab in headed if tab is not DIM_DATES for c in columns[tab.name]]
+        heads = materialise(head_rows(_dirty_rows(spark, sf_dir, ORDERS), DIRTY_ORDER, wanted), "heads")
+        batches |= {tab.name: headed_rows(heads, tab, DIRTY_ORDER, columns[tab.name]) for tab in headed}
+    return {name: batches[name] for name in columns}
+
+
 def _check(tab, rules):
     def run(spark, sf_dir):
         batch = _dirty_batch(spark, sf_dir, tab)
@@ -120,9 +140,15 @@ query("warn_discount_flag", _violations([
 ], "warning"))(_check(ORDER_ITEMS, warning_rules))
 
 
-def _over_tables(rules):
+def _over_tables(rules, columns=None):
+    """``rules`` over all tables; ``columns`` gives those of a table that its rules look at, if known."""
+
     def run(spark, sf_dir):
-        batches = {name: _dirty_batch(spark, sf_dir, tab) for name, tab in TABLES.items()}
+        if columns is None:
+            batches = {name: _dirty_batch(spark, sf_dir, tab) for name, tab in TABLES.items()}
+        else:
+            wanted = {name: list(dict.fromkeys([tab.key, *columns(tab)])) for name, tab in TABLES.items() if columns(tab)}
+            batches = _dirty_batches(spark, sf_dir, wanted)
         found = [(df, TABLES[name], rules(df, TABLES[name])) for name, df in batches.items()]
         return reduce(
             DataFrame.unionByName,
@@ -141,7 +167,7 @@ query("chk_not_null", _violations([
         "orders": ["sale_id", "sale_date", "date_id", "customer_id"],
         "order_items": ["item_id", "sale_id", "product_id", "quantity", "original_price", "unit_price"],
     }.items() for c in columns
-]))(_over_tables(not_null_rules))
+]))(_over_tables(not_null_rules, lambda tab: (tab.key, *tab.not_null)))
 
 query("chk_varchar_len", _violations([
     (name, f"varchar:{c}", f"length({c}) <= {n}", c)
@@ -152,7 +178,7 @@ query("chk_varchar_len", _violations([
         "products": {"product_name": 255, "category": 100, "brand": 100, "color": 50, "size": 50},
         "orders": {"channel": 50, "channel_campaigns": 100},
     }.items() for c, n in widths.items()
-]))(_over_tables(varchar_rules))
+]))(_over_tables(varchar_rules, lambda tab: tuple(tab.varchar)))
 
 query("chk_decimal_overflow", _violations([
     (name, f"coercion:{c}", f"{c} IS NULL OR TRY_CAST({c} AS {dtype}) IS NOT NULL", c)

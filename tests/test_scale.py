@@ -6,7 +6,10 @@ import re
 import pytest
 
 import __spark_entry__ as entry_points
+from salesmart import schemas
 from salesmart.operators import duplicates
+from salesmart.plans import entities
+from salesmart.queries import quality
 from salesmart.sources import testtables
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -76,3 +79,38 @@ def test_chosen_keys_reach_the_scan_as_literals(spark):
 def test_scanned_csv_files_are_compressed(spark):
     files = entry_points.queries()["csv_scan"](spark, SF_DIR).inputFiles()
     assert files and all(f.endswith(".csv.gz") for f in files)
+
+
+@pytest.mark.parametrize("name", ["chk_varchar_len", "chk_not_null"])
+def test_lines_are_shuffled_once_for_dates_customers_and_orders(shuffled, monkeypatch, name):
+    """What is stored is few rows an order; the checks read these, and lines again for products and items only."""
+    stored = []
+    store = quality.materialise
+    monkeypatch.setattr(quality, "materialise", lambda df, what: stored.append(store(df, what)) or stored[-1])
+    found = entry_points.queries()[name](shuffled, SF_DIR)
+    lines = len(re.findall(r"Scan parquet.*\n(?:.*\n)?Output \[\d+\]: \[[^\]]*l_orderkey", explained(found)))
+    assert lines == {"chk_varchar_len": 1, "chk_not_null": 2}[name]
+    (heads,) = stored
+    n_lines = shuffled.read.parquet(f"{SF_DIR}/lineitem.parquet").count()
+    assert 0 < heads.count() < n_lines / 2
+
+
+def test_rows_chosen_among_heads_are_those_of_all_rows(spark):
+    """Also with null keys and days, customers in several orders and orders of several customers."""
+    rows = spark.range(400).selectExpr(
+        "(id * 37) % 401 as seq",
+        "if(id % 19 = 0, null, id % 60) as sale_id",
+        "if(id % 17 = 0, null, (id * 7) % 11) as customer_id",
+        "if(id % 13 = 0, null, date_add(date'2025-01-01', cast(id % 9 as int))) as sale_date",
+        "cast(id as int) as date_id",
+        "if(id % 5 = 0, null, cast(id as string)) as channel",
+        "cast(id as string) as channel_campaigns",
+        *[f"cast(id as string) as {c}" for c in ("first_name", "last_name", "email", "gender", "age_range", "country")],
+        "date_add(date'2024-01-01', cast(id as int)) as signup_date",
+    ).repartition(5)
+    heads = entities.head_rows(rows, ["seq"], [*schemas.CUSTOMERS.columns, *schemas.ORDERS.columns])
+    for tab in entities.HEADED:
+        whole = entities.entity_rows(rows, tab, ["seq"])
+        got = entities.headed_rows(heads, tab, ["seq"], tab.column_names)
+        assert got.columns == whole.columns
+        assert sorted(map(str, got.collect())) == sorted(map(str, whole.collect())), tab.name
