@@ -4,11 +4,12 @@ import os
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
 from salesmart import schemas
 from salesmart.operators import duplicates
-from salesmart.plans import entities
+from salesmart.plans import entities, views
 from salesmart.queries import quality
 from salesmart.sources import testtables
 
@@ -114,3 +115,18 @@ def test_rows_chosen_among_heads_are_those_of_all_rows(spark):
         got = entities.headed_rows(heads, tab, ["seq"], tab.column_names)
         assert got.columns == whole.columns
         assert sorted(map(str, got.collect())) == sorted(map(str, whole.collect())), tab.name
+
+
+def test_lines_are_not_shuffled_with_the_texts_of_customers(shuffled):
+    """Lines meet their products, and orders their customers, before both meet."""
+    tables = {name: shuffled.createDataFrame([(None,) * len(tab.schema)], tab.schema) for name, tab in schemas.TABLES.items()}
+    sent = exchanged(views.sales_lines(tables))
+    assert any("item_id" in e for e in sent) and any("first_name" in e for e in sent)
+    assert not any("item_id" in e and "first_name" in e for e in sent)
+
+
+def test_states_are_compared_in_their_buckets(shuffled):
+    """Only the calendar, which is not in buckets, is shuffled to be compared; no item is."""
+    sent = exchanged(entry_points.queries()["idempotent_reload"](shuffled, SF_DIR))
+    assert not any("unit_price" in e for e in sent)
+    assert sum("_new" in e for e in sent) <= 1
