@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
 from salesmart import schemas
-from salesmart.operators import duplicates
+from salesmart.operators import dedup, duplicates
 from salesmart.plans import entities, views
 from salesmart.queries import quality
 from salesmart.sources import testtables
@@ -125,6 +125,35 @@ def test_lines_are_not_shuffled_with_the_texts_of_customers(shuffled):
     assert not any("item_id" in e and "first_name" in e for e in sent)
 
 
+def test_the_calendar_is_not_shuffled_with_orders(shuffled):
+    """Its columns are joined to the rows as they lie."""
+    tables = {name: shuffled.createDataFrame([(None,) * len(tab.schema)], tab.schema) for name, tab in schemas.TABLES.items()}
+    assert not any("day_of_week" in e for e in exchanged(views.sales_lines(tables)))
+
+
+def test_nations_are_not_shuffled_with_orders(shuffled):
+    assert not any("n_name" in e for e in exchanged(testtables.flat_sales(shuffled, SF_DIR)))
+
+
+def test_large_results_come_in_parts_of_bounded_size(shuffled, monkeypatch):
+    """``full_load``, too."""
+    monkeypatch.setattr(testtables, "TASK_LINES", 200)
+    rows = entry_points.queries()["full_load"](shuffled, SF_DIR).select("item_id")
+    sizes = rows.rdd.glom().map(len).collect()
+    assert len(sizes) == sum(sizes) // 200
+    assert max(sizes) < 3 * sum(sizes) // len(sizes)
+
+
+def test_a_chosen_row_holds_every_column_once(spark):
+    df = spark.createDataFrame([(1, 2, "b"), (1, 1, "c"), (2, 5, None), (2, None, "d")], "k int, o int, v string")
+    first = dedup.keep_first(df, "k", ["k", "o", "v"], ["k", "v", "o"])
+    assert sorted(map(tuple, first.collect())) == [(1, "c", 1), (2, "d", None)]
+    assert set(map(tuple, dedup.keep_last(df, "k", ["k", "o"], ["v", "k"]).collect())) == {("b", 1), (None, 2)}
+    assert sorted(map(tuple, dedup.keep_last(df, "k", ["k"], ["k"]).collect())) == [(1,), (2,)]
+    (struct,) = set(re.findall(r"partial_m\w+\((?:named_)?struct\(([^)]*)\)", explained(first)))
+    assert re.sub(r"#\d+", "", struct) == "o, o, v, v"
+
+
 def test_states_are_compared_in_their_buckets(shuffled):
     """Only the calendar, which is not in buckets, is shuffled to be compared; no item is."""
     sent = exchanged(entry_points.queries()["idempotent_reload"](shuffled, SF_DIR))
